@@ -10,12 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from verdance.llm.common import ship, table
 
 
+def op4_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from verdance.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from verdance.llm.tokens import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from verdance.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from verdance.llm.packing import packed_sequences
 
