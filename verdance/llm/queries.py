@@ -10,6 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from verdance.llm.common import ship, table
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from verdance.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from verdance.llm.urls import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from verdance.llm.quality import quality
 
@@ -34,6 +46,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(table(spark, sf_dir, "documents"))
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from verdance.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from verdance.llm.toxicity import toxicity
 
