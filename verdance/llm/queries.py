@@ -52,6 +52,12 @@ def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from verdance.llm.topk import top_products
+
+    return top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from verdance.llm.toxicity import toxicity
 
