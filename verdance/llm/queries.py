@@ -10,6 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from verdance.llm.common import ship, table
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from verdance.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from verdance.llm.mixing import mix
 
