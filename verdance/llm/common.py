@@ -67,9 +67,9 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
     """Apply fn to every Arrow batch; fn returns a batch in the order of schema."""
-    want = T.StructType.fromDDL(schema)
+    want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

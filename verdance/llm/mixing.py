@@ -58,20 +58,22 @@ def targets(sizes: DataFrame, budget: float = 1.5, most: float = 2.0, pattern: t
     return rows.select("source", "source_size", F.least(F.col("w") * F.col("factor"), F.lit(most) * F.col("source_size")).alias("target"))
 
 
-def mix(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most: float = 2.0, seed: int = 42, slices: int = SLICES) -> DataFrame:
-    """doc_id, size, source_size, target, taken and epochs of every row.
+def _keyed(docs: DataFrame, weight: Column | None, seed: int) -> DataFrame:
+    """docs with __size, __tie and __key."""
+    docs = docs.withColumn("__size", size_of(F.col("text"))).withColumn("__tie", F.xxhash64("text"))
+    q = weight if weight is not None else quality_of(F.col("text"), F.col("__size"))
+    return docs.withColumn("__key", -F.ln(uniform(F.col("doc_id").cast("long"), seed=seed)) / F.greatest(q.cast("double"), F.lit(1e-9)))
 
-    taken is size times 0 to `most` whole takes. A null text has size 0 and is never
-    taken; a null source is a source; a source without words has target 0. Repeated
-    rows are documents of their own; among equal keys the order is by id, then by text.
-    Reruns agree. An empty table gives an empty one.
+
+def _same(a: str, b: str) -> Column:
+    return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
+
+
+def plan(rows: DataFrame, budget: float = 1.5, most: float = 2.0, slices: int = SLICES) -> DataFrame:
+    """A row for each source of rows(doc_id, source, size, tie, key): its size, target, epochs, and what is taken of the rest.
+
+    cut: the first (key, doc_id, tie) that the rest doesn't hold; close: the closing document.
     """
-    size = size_of(F.col("text"))
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"),
-        (weight if weight is not None else quality_of(F.col("text"), size)).cast("double").alias("q"), F.xxhash64("text").alias("tie"))
-    rows = rows.select("doc_id", "source", "size", "tie", (-F.ln(uniform(F.col("doc_id"), seed=seed)) / F.greatest("q", F.lit(1e-9))).alias("key"))
-    rows = materialize(rows, "mix-sizes")
     goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), budget, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goal = materialize(goal.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-targets")
@@ -79,25 +81,51 @@ def mix(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most
     # the slice in which each source's rest ends
     part = F.floor(F.lit(float(slices)) * (F.lit(1.0) - F.exp(-F.col("key")))).cast("int")
     sliced = rows.where("size > 0").withColumn("slice", part)
-    same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
     running = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sliced.groupBy("source", "slice").agg(F.sum("size").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0)))
-    ends = sums.alias("s").join(goal.alias("g"), same("s", "g")).where("before <= rest and before + n > rest").select("s.source", "slice", "before", "rest")
+    ends = sums.alias("s").join(goal.alias("g"), _same("s", "g")).where("before <= rest and before + n > rest").select("s.source", "slice", "before", "rest")
     # its rows in order: the first that would pass the rest
     inner = Window.partitionBy("source").orderBy("key", "doc_id", "tie")
-    last = sliced.alias("r").join(ends.alias("e"), same("r", "e") & (F.col("r.slice") == F.col("e.slice"))).select("r.*", "before", "rest")
+    last = sliced.alias("r").join(ends.alias("e"), _same("r", "e") & (F.col("r.slice") == F.col("e.slice"))).select("r.*", "before", "rest")
     last = last.withColumn("upto", F.col("before") + F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
     cut = last.where("upto > rest").groupBy("source").agg(F.min(F.struct("key", "doc_id", "tie")).alias("cut"), F.min(F.struct("upto", "size")).alias("u"))
-    cut = materialize(cut.alias("c").join(goal.alias("g"), same("c", "g")).select("c.source", "cut", (F.col("rest") - (F.col("u.upto") - F.col("u.size"))).alias("left")), "mix-cuts")
+    cut = materialize(cut.alias("c").join(goal.alias("g"), _same("c", "g")).select("c.source", "cut", (F.col("rest") - (F.col("u.upto") - F.col("u.size"))).alias("left")), "mix-cuts")
     # the document from there on that fills what is left best; none if nothing does
     gap = F.abs(F.col("size") - F.col("left"))
-    later = sliced.alias("r").join(cut.alias("c"), same("r", "c")).where(F.struct("key", "doc_id", "tie") >= F.col("cut"))
+    later = sliced.alias("r").join(cut.alias("c"), _same("r", "c")).where(F.struct("key", "doc_id", "tie") >= F.col("cut"))
     close = later.where(gap < F.abs(F.col("left"))).groupBy("r.source").agg(F.min(F.struct(gap.alias("gap"), "key", "doc_id", "tie")).alias("close"))
-    cuts = cut.alias("c").join(close.alias("k"), same("c", "k"), "left").select("c.source", "cut", F.struct("close.key", "close.doc_id", "close.tie").alias("close"))
-    state = materialize(goal.alias("g").join(cuts.alias("c"), same("g", "c"), "left").select("g.*", "cut", "close"), "mix-state")
-
-    own = F.struct("key", "doc_id", "tie")
-    taken = F.col("epochs") + F.when((own < F.col("cut")) | own.eqNullSafe(F.col("close")) & F.col("close.key").isNotNull(), 1).otherwise(0)
-    taken = F.when(F.col("size") > 0, F.when(F.col("rest") > 0, taken).otherwise(F.col("epochs"))).otherwise(0)
-    joined = rows.alias("r").join(state.alias("s"), same("r", "s")).select("r.*", "source_size", "target", taken.cast("int").alias("epochs"))
-    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs", "source", "tie")
+    cuts = cut.alias("c").join(close.alias("k"), _same("c", "k"), "left").select("c.source", "cut", F.struct("close.key", "close.doc_id", "close.tie").alias("close"))
+    return materialize(goal.alias("g").join(cuts.alias("c"), _same("g", "c"), "left").select("g.*", "cut", "close"), "mix-plan")
+
+
+def _takes(size: str, key: str, doc_id: str, tie: str) -> Column:
+    """How often a document is taken, from its columns and its source's plan."""
+    own = F.struct(F.col(key).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(tie).alias("tie"))
+    fraction = F.when((own < F.col("cut")) | F.col("close.key").isNotNull() & own.eqNullSafe(F.col("close")), 1).otherwise(0)
+    return F.when(F.col(size) > 0, F.col("epochs") + F.when(F.col("rest") > 0, fraction).otherwise(0)).otherwise(0).cast("int")
+
+
+def _skinny(docs: DataFrame, weight: Column | None, seed: int) -> DataFrame:
+    rows = _keyed(docs, weight, seed)
+    return materialize(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("__size").alias("size"), F.col("__tie").alias("tie"), F.col("__key").alias("key")), "mix-sizes")
+
+
+def mix(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most: float = 2.0, seed: int = 42, slices: int = SLICES) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every row.
+
+    taken is size times 0 to `most` whole takes. A null text has size 0 and is never
+    taken; a null source is a source; a source without words has target 0. Repeated
+    rows are documents of their own; among equal keys the order is by id, then by text,
+    and rows equal in all of these go together. Reruns agree. An empty table gives an empty one.
+    """
+    rows = _skinny(docs, weight, seed)
+    joined = rows.alias("r").join(plan(rows, budget, most, slices).alias("s"), _same("r", "s"))
+    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * _takes("size", "key", "doc_id", "tie")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most: float = 2.0, seed: int = 42, slices: int = SLICES) -> DataFrame:
+    """The rows of docs, all columns, as often as the mix takes them. Documents meet their source's plan alone, not their own row again."""
+    state = plan(_skinny(docs, weight, seed), budget, most, slices)
+    rows = _keyed(docs, weight, seed).alias("r").join(state.alias("s"), F.col("r.source").cast("string").eqNullSafe(F.col("s.source")))
+    rows = rows.select("r.*", _takes("__size", "__key", "doc_id", "__tie").alias("__takes")).where("__takes > 0")
+    return rows.select("*", F.explode(F.sequence(F.lit(1), F.col("__takes"))).alias("__take")).select(docs.columns)

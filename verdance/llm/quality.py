@@ -11,7 +11,7 @@ all of them is computed exactly, in blocks, and its nearest vote by similarity.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -121,23 +121,41 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0, rows:
     return model
 
 
+def scorer(docs: DataFrame, labels: DataFrame, fold: int, held: int) -> Callable[[list[bytes]], np.ndarray]:
+    """Scores of texts as UTF-8, by the model that every task gets: at most `rows` vectors of `dims` floats."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, fold, held))
+
+    def judge(raw: list[bytes]) -> np.ndarray:
+        own, scores = shared.value, []
+        for a in range(0, len(raw), BLOCK):
+            part = raw[a : a + BLOCK]
+            scores.append(own.score(np.stack([term_counts(t) for t in part])) if own else np.full(len(part), 0.5))
+        return np.concatenate(scores) if scores else np.empty(0)
+
+    return judge
+
+
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fold: int = 5, held: int = 0) -> DataFrame:
     """doc_id, held_out, score, predicted of every document.
 
     Null and empty texts count as one and the same text without words. A null doc_id
     is held out of nothing; repeated rows score alike; without labels every score is 0.5.
     """
-    ids = [F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("raw")]
-    model = fit(docs, labels, fold, held)
-    held_model = docs.sparkSession.sparkContext.broadcast(model)  # at most `rows` vectors of `dims` floats
+    judge = scorer(docs, labels, fold, held)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, scores = held_model.value, []
-        raw = batch.column("raw").to_pylist()
-        for a in range(0, len(raw), BLOCK):
-            part = raw[a : a + BLOCK]
-            scores.append(own.score(np.stack([term_counts(t) for t in part])) if own else np.full(len(part), 0.5))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(scores))], names=["doc_id", "score"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(judge(batch.column("raw").to_pylist()))], names=["doc_id", "score"])
 
-    out = map_batches(docs.select(ids), run, "doc_id long, score double")
+    out = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("raw")), run, "doc_id long, score double")
     return out.select("doc_id", F.coalesce(fold_of(F.col("doc_id"), fold) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fold: int = 5, held: int = 0) -> DataFrame:
+    """The rows of docs, all columns, whose score reaches the threshold. No shuffle."""
+    judge = scorer(docs, labels, fold, held)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        raw = [(t or "").encode("utf-8") for t in batch.column("text").to_pylist()]
+        return batch.filter(pa.array(judge(raw) >= threshold))
+
+    return map_batches(docs, run, docs.schema)

@@ -193,3 +193,17 @@ def near_duplicates(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42,
     least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
     member = of.join(least, "root").select("fp", "component_id")
     return fps.join(member, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42) -> DataFrame:
+    """The rows of docs, all columns, with one document of each component: the smallest id.
+
+    Only the ids that go are joined to the documents. Rows with a null id can't be told
+    apart and all stay; of rows that repeat an id, one stays.
+    """
+    found = materialize(near_duplicates(docs, bits, k, seed).select("doc_id", "component_id"), "simhash-groups")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    out = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    if found.where("doc_id is not null").groupBy("doc_id").count().where(F.col("count") > 1).isEmpty():
+        return out
+    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))

@@ -91,6 +91,18 @@ class ToxicModel:
         w = self.weights
         return 1 / (1 + np.exp(-np.clip(w[0] + w[1] * self.normal(n, top) + w[2] * np.log1p(passages), -40, 40)))
 
+    def judge(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[dict]]]:
+        """Score and significant segments of each text."""
+        n, top, spans = [], [], []
+        for text in texts:
+            scores = self.scores(text)
+            segments = maximal_segments(scores)
+            n.append(len(scores))
+            top.append(max((s for _, _, s in segments), default=0.0))
+            found = [(a, b, self.chance(s, len(scores))) for a, b, s in segments]
+            spans.append([{"first": a, "last": b, "chance": p} for a, b, p in found if p <= self.significance])
+        return self.score(np.asarray(n, float), np.asarray(top, float), np.asarray([min(len(x), 1) for x in spans])), spans
+
     def normal(self, n: np.ndarray, top: np.ndarray) -> np.ndarray:
         return np.clip(self.lam * top - np.log(self.k * np.maximum(n, 1)), -10, 15)
 
@@ -268,16 +280,8 @@ def apply(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """doc_id, score, n_passages, spans of every row: spans are the passages' first and last run and chance."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, top, spans = [], [], []
-        for text in batch.column("text").to_pylist():
-            scores = model.scores(text)
-            segments = maximal_segments(scores)
-            n.append(len(scores))
-            top.append(max((s for _, _, s in segments), default=0.0))
-            found = [(a, b, model.chance(s, len(scores))) for a, b, s in segments]
-            spans.append([{"first": a, "last": b, "chance": p} for a, b, p in found if p <= model.significance])
-        count = np.asarray([len(x) for x in spans])
-        score = model.score(np.asarray(n, float), np.asarray(top, float), np.minimum(count, 1))
+        score, spans = model.judge(batch.column("text").to_pylist())
+        count = [len(x) for x in spans]
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("chance", pa.float64())]))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array(count, pa.int32()), pa.array(spans, kind)], names=["doc_id", "score", "n_passages", "spans"])
 
@@ -294,3 +298,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fold: i
     """
     out = apply(docs, fit(docs, labels, fold, held))
     return out.select("doc_id", F.coalesce(fold_of(F.col("doc_id"), fold) == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_passages", "spans")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fold: int = 4, held: int = 2) -> DataFrame:
+    """The rows of docs, all columns, whose score is under the threshold. No shuffle."""
+    model = fit(docs, labels, fold, held)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(model.judge(batch.column("text").to_pylist())[0] < threshold))
+
+    return map_batches(docs, run, docs.schema)
