@@ -205,21 +205,35 @@ def _lambda(values: np.ndarray, shares: np.ndarray) -> float:
     return hi
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weighted logistic regression with an intercept, by Newton's method."""
-    x = np.column_stack([np.ones(len(x)), x])
-    b = np.zeros(x.shape[1])
-    penalty = np.diag([0.0] + [ridge] * (x.shape[1] - 1)) * w.sum() + 1e-9 * np.eye(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve((x * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + penalty, x.T @ (w * (y - p)) - penalty @ b)
-        b += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Weighted logistic regression with an intercept: Newton's method on standardised features, each step halved until the loss falls."""
+    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+    w = w / w.sum()
+    penalty = np.r_[1e-9, np.full(x.shape[1], ridge)]
+
+    def loss(b: np.ndarray) -> float:
+        m = z @ b
+        return float((w * (np.logaddexp(0, m) - y * m)).sum() + (penalty * b * b).sum() / 2)
+
+    b = np.zeros(z.shape[1])
+    now = loss(b)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
+        slope = z.T @ (w * (p - y)) + penalty * b
+        step = np.linalg.solve((z * (w * p * (1 - p))[:, None]).T @ z + np.diag(penalty + 1e-9), slope)
+        t = 1.0
+        while t > 1e-6 and loss(b - t * step) > now:
+            t /= 2
+        b, before = b - t * step, now
+        now = loss(b)
+        if before - now < 1e-10:
             break
-    return b
+    out = b[1:] / scale
+    return np.r_[b[0] - (out * mean).sum(), out]
 
 
-def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows: int = 16_384, prior: float = 4.0, drift: float = 0.2) -> ToxicModel:
+def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows: int = 16_384, prior: float = 16.0, drift: float = 0.2) -> ToxicModel:
     """Fit on at most `rows` labelled documents outside the held-out fold.
 
     Each half of them is scored by counts of the other half to set lambda, K and
@@ -271,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows:
     w = np.where(y == 1, base / max(y.mean(), 1e-9), (1 - base) / max(1 - y.mean(), 1e-9))
     x1 = model.normal(pdf["n"].to_numpy(float), pdf["top"].to_numpy(float))
     x2 = (x1 >= -math.log(model.significance)) * math.log(2)
-    b = fit_logistic(np.column_stack([x1, x2]), y, w, 1e-4)
+    b = fit_logistic(np.column_stack([x1, x2]), y, w)
     model.weights = (float(b[0]), float(max(b[1], 0)), float(max(b[2], 0)))
     return model
 
