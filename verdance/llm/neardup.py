@@ -29,7 +29,7 @@ from verdance.llm.vectors import matrix, sound
 
 SEED = 20240229
 #: Lists that a vector enters.
-ENTRIES = 16
+ENTRIES = 14
 
 
 @lru_cache(4)
@@ -78,7 +78,7 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def links(classes: DataFrame, threshold: float = 0.9, recall: float = 0.995) -> DataFrame:
     """(u, v), u < v: the pairs of classes(id, embedding) found with a cosine of at least threshold."""
     sizes = {r["dims"]: r["n"] for r in classes.groupBy(F.size("embedding").alias("dims")).agg(F.count("*").alias("n")).collect()}
-    m = 1 << max(10, math.ceil(math.log2(32 * math.sqrt(max(sizes.values(), default=1)))))
+    m = 1 << max(10, math.ceil(math.log2(64 * math.sqrt(max(sizes.values(), default=1)))))
     width, count = calibrate(threshold, m, recall)
 
     def project(batch: pa.RecordBatch) -> pa.RecordBatch:
