@@ -160,21 +160,24 @@ def unit_counts(sample: DataFrame) -> DataFrame:
     return sets.groupBy("unit").agg(*[F.coalesce(F.sum(F.when((F.col("y") == y) & (F.col("half") == h), n)), F.lit(0)).alias(f"{c}{h}") for y, c in ((1, "t"), (0, "f")) for h in (0, 1)])
 
 
-def collect_units(counts: DataFrame, weight: float, base: float) -> pd.DataFrame:
-    """The units that may score: those seen in two or more toxic documents and thrice the base rate, and all that begin with their stems.
+def collect_units(counts: DataFrame, weight: float, base: float, prior: float) -> pd.DataFrame:
+    """The units that may score: those whose share stands out by the base rate's prior, all that begin with such a stem, and the stems of all these.
 
     weight: how many clean documents one of the sample stands for, against a toxic one.
     """
     t, f = F.expr("t0 + t1"), F.expr("f0 + f1") * F.lit(weight)
-    lead = counts.where((t >= 2) & (t > F.lit(3 * base) * (t + f))).toPandas()
+    least = 1 / (1 + (1 - base) / base / math.e)
+    lead = counts.where((t >= 2) & (t + F.lit(prior * base) > F.lit(least) * (t + f + F.lit(prior)))).toPandas()
     if lead.empty:
         return lead.set_index("unit")
-    stems = sorted({u for u in lead["unit"] if u.endswith("*")} | {c for u in lead["unit"] for c in _chain(u)})
-    key = counts.sparkSession.createDataFrame([(s[:-1],) for s in stems] or [("",)], "stem string")
+    spark = counts.sparkSession
     # clean words under a toxic stem count against it
+    stems = [(u[:-1],) for u in lead["unit"] if u.endswith("*")]
     parts = F.explode(F.array_distinct(F.array(*[F.substring(F.regexp_replace("unit", r"\*$", ""), 1, n) for n in STEMS])))
-    under = counts.select("*", parts.alias("stem")).join(F.broadcast(key), "stem").drop("stem").distinct().toPandas()
-    return pd.concat([lead, under]).drop_duplicates("unit").set_index("unit")
+    under = counts.select("*", parts.alias("stem")).join(F.broadcast(spark.createDataFrame(stems, "stem string")), "stem").drop("stem").distinct().toPandas() if stems else lead.head(0)
+    chains = sorted({(c,) for part in (lead, under) for u in part["unit"] for c in _chain(u)})
+    above = counts.join(F.broadcast(spark.createDataFrame(chains, "unit string")), "unit").toPandas() if chains else lead.head(0)
+    return pd.concat([lead, under, above]).drop_duplicates("unit").set_index("unit")
 
 
 def unit_scores(t: dict[str, float], f: dict[str, float], base: float, prior: float, drift: float) -> dict[str, float]:
@@ -233,7 +236,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-
     return np.r_[b[0] - (out * mean).sum(), out]
 
 
-def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows: int = 16_384, prior: float = 16.0, drift: float = 0.2) -> ToxicModel:
+def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows: int = 16_384, prior: float = 8.0, drift: float = 0.2) -> ToxicModel:
     """Fit on at most `rows` labelled documents outside the held-out fold.
 
     Each half of them is scored by counts of the other half to set lambda, K and
@@ -249,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows:
     # the classes as frequent as among the labels
     base = labels.where(F.col("toxic").isin(0, 1) & (fold_of(F.col("doc_id"), fold) != held)).agg(F.avg("toxic")).first()[0]
     weight = (1 - base) / base * (n[1, 0] + n[1, 1]) / (n[0, 0] + n[0, 1])
-    table = collect_units(counts, weight, base)
+    table = collect_units(counts, weight, base, prior)
 
     def scores(halves: tuple[int, ...]) -> dict[str, float]:
         t = sum(table[f"t{h}"] for h in halves)
