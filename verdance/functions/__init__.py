@@ -1 +1 @@
-"""functions"""
+"""Column expressions: scalar rules and geometry."""

@@ -1 +1 @@
-"""operators"""
+"""Operators on pixel, zone, scene and parcel tables."""

@@ -1 +1 @@
-"""plans"""
+"""Whole programs: products, the daily pipeline, registered queries."""

@@ -1 +1,38 @@
-"""streaming"""
+"""Structured Streaming forms of the keyed, bounded states."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from verdance.operators import temporal as T
+from verdance.sources import sinks
+
+
+def history_sink(path: str, by: list[str], keep: int = 5) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: merges a batch of detections into the bounded history; a batch that comes again changes nothing."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        try:
+            old = spark.read.parquet(path).select(batch.columns)
+        except AnalysisException:
+            old = batch.limit(0)
+        touched = T.bounded_history(old, batch, "fecha_deteccion", by, keep)
+        now = batch.select("fecha_deteccion").distinct()
+        sinks.write_history(touched.join(now, "fecha_deteccion", "left_semi"), path)
+
+    return merge
+
+
+def stream_history(stream: DataFrame, path: str, checkpoint: str, by: list[str], keep: int = 5) -> DataStreamWriter:
+    return stream.writeStream.foreachBatch(history_sink(path, by, keep)).option("checkpointLocation", checkpoint)
+
+
+def cloud_windows(scenes: DataFrame, time: str = "ts", every: str = "5 days", late: str = "10 days") -> DataFrame:
+    """Cloud share of scenes by tumbling window, with late scenes taken up to a limit. scenes: time, total, cloud."""
+    return scenes.withWatermark(time, late).groupBy(F.window(time, every).alias("w")).agg(F.sum("total").alias("total"), F.sum("cloud").alias("cloud")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "total", "cloud", F.when(F.col("total") > 0, 100.0 * F.col("cloud") / F.col("total")).alias("cloud_pct"))
