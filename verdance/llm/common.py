@@ -6,35 +6,19 @@ import atexit
 import shutil
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Word: a run without the six ASCII white-space characters.
-WORD = r"[^\x20\x09-\x0D]+"
-
+from verdance.session import ship
 
-_shipped: set[str] = set()
+__all__ = ["WORD", "fold_of", "labelled_sample", "map_batches", "materialize", "shared_dir", "ship", "table", "text_bytes"]
 
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, once for each application, as spark-submit --py-files would."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    held = tempfile.mkdtemp(prefix="verdance-code-")
-    atexit.register(shutil.rmtree, held, ignore_errors=True)
-    with zipfile.ZipFile(f"{held}/{root.name}.zip", "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    spark.sparkContext.addPyFile(f"{held}/{root.name}.zip")
-    _shipped.add(app)
+#: Word: a run without the six ASCII white-space characters.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
