@@ -92,4 +92,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, h
     else:
         own = own.orderBy("h", "doc_id").limit(rows)
     # at most `rows` ids: a proven bound for the broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("doc_id", "text", "y").dropDuplicates(["doc_id"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(own), "doc_id")
+    # of rows that repeat an id, the smallest text
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))

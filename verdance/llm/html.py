@@ -43,6 +43,16 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+").findall
 SPACE = re.compile(r"\s+")
 
 
+TAG_BEGINS = re.compile(r"<[a-z/!?]", re.IGNORECASE)
+
+
+def unclosed(m: re.Match) -> bool:
+    """Whether a comment or an element of raw text runs on to the end of the page."""
+    if m[1]:
+        return re.search(rf"</{m[1]}\s*>\Z", m[0], re.IGNORECASE) is None
+    return m[0].startswith("<!--") and not m[0].endswith("-->") or m[0].startswith("<![CDATA[") and not m[0].endswith("]]>")
+
+
 class Lines:
     """The page's lines: text, weight, whether boilerplate, whether in an article."""
 
@@ -55,16 +65,19 @@ class Lines:
         self.open: list[tuple[str, bool, bool]] = []
         self.count: Counter = Counter()
         self.apart = self.main = 0
-        at = 0
-        for m in TOKEN.finditer(html):
-            if m.start() > at:
-                self.add(html[at : m.start()])
-            at = m.end()
-            name = m[3] or m[6]
+        # beyond the last ">" no tag ends: what looks like one there is looked at once
+        at, last, cut = 0, None, html.rfind(">") + 1
+        for last in TOKEN.finditer(html, 0, cut):
+            if last.start() > at:
+                self.add(html[at : last.start()])
+            at = last.end()
+            name = last[3] or last[6]
             if name:
-                (self.close if m[2] or m[5] else self.start)(name.lower(), m[4] or m[7] or "")
-        if at < len(html):
-            self.add(html[at:])
+                (self.close if last[2] or last[5] else self.start)(name.lower(), last[4] or last[7] or "")
+        if not (last and at == cut and unclosed(last)):
+            rest = html[at:]
+            broken = TAG_BEGINS.search(rest)
+            self.add(rest[: broken.start()] if broken else rest)
         self.end()
 
     def add(self, text: str) -> None:

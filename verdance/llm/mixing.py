@@ -58,11 +58,14 @@ def targets(sizes: DataFrame, budget: float = 1.5, most: float = 2.0, pattern: t
     return rows.select("source", "source_size", F.least(F.col("w") * F.col("factor"), F.lit(most) * F.col("source_size")).alias("target"))
 
 
+SIZE, TIE, RANK = "__verdance_size", "__verdance_tie", "__verdance_key"
+
+
 def _keyed(docs: DataFrame, weight: Column | None, seed: int) -> DataFrame:
-    """docs with __size, __tie and __key."""
-    docs = docs.withColumn("__size", size_of(F.col("text"))).withColumn("__tie", F.xxhash64("text"))
-    q = weight if weight is not None else quality_of(F.col("text"), F.col("__size"))
-    return docs.withColumn("__key", -F.ln(uniform(F.col("doc_id").cast("long"), seed=seed)) / F.greatest(q.cast("double"), F.lit(1e-9)))
+    """docs with their size, tie-breaking hash and key, under names of their own."""
+    docs = docs.withColumn(SIZE, size_of(F.col("text"))).withColumn(TIE, F.xxhash64("text"))
+    q = weight if weight is not None else quality_of(F.col("text"), F.col(SIZE))
+    return docs.withColumn(RANK, -F.ln(uniform(F.col("doc_id").cast("long"), seed=seed)) / F.greatest(q.cast("double"), F.lit(1e-9)))
 
 
 def _same(a: str, b: str) -> Column:
@@ -99,15 +102,15 @@ def plan(rows: DataFrame, budget: float = 1.5, most: float = 2.0, slices: int =
 
 
 def _takes(size: str, key: str, doc_id: str, tie: str) -> Column:
-    """How often a document is taken, from its columns and its source's plan."""
-    own = F.struct(F.col(key).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(tie).alias("tie"))
-    fraction = F.when((own < F.col("cut")) | F.col("close.key").isNotNull() & own.eqNullSafe(F.col("close")), 1).otherwise(0)
-    return F.when(F.col(size) > 0, F.col("epochs") + F.when(F.col("rest") > 0, fraction).otherwise(0)).otherwise(0).cast("int")
+    """How often a document of `r` is taken by the plan `s` of its source."""
+    own = F.struct(F.col(f"r.{key}").alias("key"), F.col(f"r.{doc_id}").cast("long").alias("doc_id"), F.col(f"r.{tie}").alias("tie"))
+    fraction = F.when((own < F.col("s.cut")) | F.col("s.close.key").isNotNull() & own.eqNullSafe(F.col("s.close")), 1).otherwise(0)
+    return F.when(F.col(f"r.{size}") > 0, F.col("s.epochs") + F.when(F.col("s.rest") > 0, fraction).otherwise(0)).otherwise(0).cast("int")
 
 
 def _skinny(docs: DataFrame, weight: Column | None, seed: int) -> DataFrame:
     rows = _keyed(docs, weight, seed)
-    return materialize(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("__size").alias("size"), F.col("__tie").alias("tie"), F.col("__key").alias("key")), "mix-sizes")
+    return materialize(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col(SIZE).alias("size"), F.col(TIE).alias("tie"), F.col(RANK).alias("key")), "mix-sizes")
 
 
 def mix(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most: float = 2.0, seed: int = 42, slices: int = SLICES) -> DataFrame:
@@ -127,5 +130,6 @@ def mixed(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, mo
     """The rows of docs, all columns, as often as the mix takes them. Documents meet their source's plan alone, not their own row again."""
     state = plan(_skinny(docs, weight, seed), budget, most, slices)
     rows = _keyed(docs, weight, seed).alias("r").join(state.alias("s"), F.col("r.source").cast("string").eqNullSafe(F.col("s.source")))
-    rows = rows.select("r.*", _takes("__size", "__key", "doc_id", "__tie").alias("__takes")).where("__takes > 0")
-    return rows.select("*", F.explode(F.sequence(F.lit(1), F.col("__takes"))).alias("__take")).select(docs.columns)
+    rows = rows.withColumn("__verdance_takes", _takes(SIZE, RANK, "doc_id", TIE)).where("__verdance_takes > 0")
+    own = [F.col(f"r.`{c}`").alias(c) for c in docs.columns]
+    return rows.select(*own, F.explode(F.sequence(F.lit(1), F.col("__verdance_takes"))).alias("__verdance_take")).drop("__verdance_take")

@@ -99,9 +99,9 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0, rows:
         for pdf in batches:
             yield pd.DataFrame({"y": pdf["y"], "x": [term_counts(t).tobytes() for t in pdf["raw"]]})
 
-    sample = materialize(labelled_sample(docs, labels, "quality", fold, held, rows).select(text_bytes().alias("raw"), "y"), "quality-sample")
+    sample = materialize(labelled_sample(docs, labels, "quality", fold, held, rows).select("doc_id", text_bytes().alias("raw"), "y"), "quality-sample")
     # at most `rows` rows of TERMS floats
-    got = sample.repartition(24, F.md5("raw")).mapInPandas(count, "y int, x binary").toPandas()
+    got = sample.repartition(24, "doc_id").mapInPandas(count, "y int, x binary").toPandas()
     if got.empty:
         return None
     x = np.stack([np.frombuffer(b, np.float32) for b in got["x"]])

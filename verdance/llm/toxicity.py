@@ -135,15 +135,19 @@ def _sketch(words: list[str]) -> list[int]:
 
 def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each document's distinct words and stems, with its sketch."""
+    held: list[tuple] = []
     for pdf in batches:
-        out: list[tuple] = []
         for text, y, half in zip(pdf["text"], pdf["y"], pdf["half"]):
             words = TOKENS((text or "").lower())
             key = _sketch(words)
             own = set(words)
             own |= {w[:n] + "*" for w in own for n in STEMS if len(w) > n}
-            out += [(u, y, half, *key) for u in own]
-        yield pd.DataFrame(out, columns=["unit", "y", "half", "k1", "k2", "k3"])
+            held += [(u, y, half, *key) for u in own]
+            if len(held) >= 20_000:  # a whole batch of long documents would be large
+                yield pd.DataFrame(held, columns=["unit", "y", "half", "k1", "k2", "k3"])
+                held = []
+    if held:
+        yield pd.DataFrame(held, columns=["unit", "y", "half", "k1", "k2", "k3"])
 
 
 def _chain(unit: str) -> list[str]:
@@ -154,7 +158,7 @@ def _chain(unit: str) -> list[str]:
 
 def unit_counts(sample: DataFrame) -> DataFrame:
     """unit and, for each class and half, in how many documents it occurs; a group of near copies counts about once."""
-    seen = sample.select("text", "y", "half").repartition(24, F.md5(F.coalesce("text", F.lit("")))).mapInPandas(_units, "unit string, y int, half int, k1 long, k2 long, k3 long")
+    seen = sample.select("doc_id", "text", "y", "half").repartition(24, "doc_id").mapInPandas(_units, "unit string, y int, half int, k1 long, k2 long, k3 long")
     sets = seen.groupBy("unit", "y", "half").agg(*[F.size(F.collect_set(k)).alias(k) for k in ("k1", "k2", "k3")])
     n = F.least("k1", "k2", "k3")
     return sets.groupBy("unit").agg(*[F.coalesce(F.sum(F.when((F.col("y") == y) & (F.col("half") == h), n)), F.lit(0)).alias(f"{c}{h}") for y, c in ((1, "t"), (0, "f")) for h in (0, 1)])
@@ -243,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows:
     the logistic curve; the model's own scores use the counts of both.
     """
     half = F.pmod(F.xxhash64(F.lit("half"), F.coalesce("text", F.lit(""))), F.lit(2)).cast("int")
-    sample = materialize(labelled_sample(docs, labels, "toxic", fold, held, rows).select("text", "y", half.alias("half")), "toxic-sample")
+    sample = materialize(labelled_sample(docs, labels, "toxic", fold, held, rows).select("doc_id", "text", "y", half.alias("half")), "toxic-sample")
     sizes = {(r["y"], r["half"]): r["n"] for r in sample.groupBy("y", "half").agg(F.count("*").alias("n")).collect()}
     if any(not sizes.get((y, h)) for y in (0, 1) for h in (0, 1)):
         return ToxicModel({}, -drift, weights=(-3.0, 0.0, 0.0))
@@ -272,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows:
                 out.append((y, n, top, at.tolist(), times.tolist()))
             yield pd.DataFrame(out, columns=["y", "n", "top", "at", "times"])
 
-    seen = materialize(sample.repartition(24, F.md5(F.coalesce("text", F.lit("")))).mapInPandas(profile, "y int, n long, top double, at array<double>, times array<long>"), "toxic-profile")
+    seen = materialize(sample.repartition(24, "doc_id").mapInPandas(profile, "y int, n long, top double, at array<double>, times array<long>"), "toxic-profile")
     plain = seen.where("y = 0").select(F.explode(F.arrays_zip("at", "times")).alias("z")).groupBy("z.at").agg(F.sum("z.times").alias("n")).toPandas()
     model = ToxicModel(scores((0, 1)), -drift)
     if len(plain):
