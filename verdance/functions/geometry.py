@@ -7,7 +7,6 @@ is inside an odd number of its rings.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -119,17 +118,26 @@ def _area(xy: np.ndarray) -> float:
     return abs(float(np.dot(x, np.roll(y, -1)) - np.dot(np.roll(x, -1), y))) / 2
 
 
+def flat(parts: Column) -> dict[str, Column]:
+    """A shape as plain arrays: xs, ys, and the ring and hole flag of each point. Nested arrays of unequal lengths don't pass to Python."""
+    rings = F.flatten(F.transform(parts, lambda part: F.transform(part, lambda ring, i: F.struct(ring.alias("ring"), (i > 0).alias("hole")))))
+    points = F.flatten(F.transform(rings, lambda r, k: F.transform(r["ring"], lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), F.when(r["hole"], -1 - k).otherwise(k + 1).alias("ring")))))
+    return {"xs": F.transform(points, lambda p: p["x"]), "ys": F.transform(points, lambda p: p["y"]), "rings": F.transform(points, lambda p: p["ring"])}
+
+
+def unflat(xs: np.ndarray, ys: np.ndarray, rings: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(1 or -1 for a hole, points) of each ring."""
+    xy, rings = np.column_stack([xs, ys]).astype(float), np.asarray(rings)
+    cuts = np.flatnonzero(np.diff(rings)) + 1
+    return [(1 if r[0] > 0 else -1, p) for r, p in zip(np.split(rings, cuts), np.split(xy, cuts)) if len(r)]
+
+
 @pandas_udf(T.DoubleType())
-def cell_area(parts: pd.Series, west: pd.Series, south: pd.Series, east: pd.Series, north: pd.Series) -> pd.Series:
-    """Area of a shape within a rectangle."""
+def cell_area(xs: pd.Series, ys: pd.Series, rings: pd.Series, west: pd.Series, south: pd.Series, east: pd.Series, north: pd.Series) -> pd.Series:
+    """Area within a rectangle of a shape given by the columns of flat()."""
     out = []
-    for shape, w, s, e, n in zip(parts, west, south, east, north):
-        total = 0.0
-        for part in shape if shape is not None else ():
-            for i, ring in enumerate(part):
-                xy = np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2)
-                total += (1 if i == 0 else -1) * _area(clip_ring(xy, w, s, e, n))
-        out.append(max(total, 0.0))
+    for x, y, r, w, s, e, n in zip(xs, ys, rings, west, south, east, north):
+        out.append(0.0 if x is None else max(sum(sign * _area(clip_ring(xy, w, s, e, n)) for sign, xy in unflat(x, y, r)), 0.0))
     return pd.Series(out)
 
 
@@ -184,15 +192,18 @@ def coverage(footprints: DataFrame, aoi: DataFrame, by: list[str]) -> DataFrame:
     aoi is one row with its parts. A group's footprints are those of one date: tens, not rows of the data.
     """
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rings = lambda shape: [[(p["x"], p["y"]) for p in ring] for part in shape for ring in part]
-        area = rings(pdf["aoi"].iloc[0])
+        shape = lambda p, r: [xy for _, xy in unflat(r[f"{p}xs"], r[f"{p}ys"], r[f"{p}rings"])]
+        rows = pdf.to_dict("records")
+        area = shape("a", rows[0])
         whole = union_area([area])
-        pct = 100 * union_area([rings(s) for s in pdf["parts"]], area) / whole if whole else 0.0
+        pct = 100 * union_area([shape("f", r) for r in rows], area) / whole if whole else 0.0
         return pd.DataFrame([[*key, pct]], columns=[*by, "coverage_pct"])
 
-    one = F.broadcast(aoi.select(F.col("parts").alias("aoi")).limit(1))
+    named = lambda p: [c.alias(f"{p}{k}") for k, c in flat(F.col("parts")).items()]
+    one = F.broadcast(aoi.select(*named("a")).limit(1))
     kinds = dict(footprints.dtypes)
-    return footprints.where("parts is not null").crossJoin(one).groupBy(*by).applyInPandas(run, ", ".join([*(f"{b} {kinds[b]}" for b in by), "coverage_pct double"]))
+    rows = footprints.where("parts is not null").select(*by, *named("f")).crossJoin(one)
+    return rows.groupBy(*by).applyInPandas(run, ", ".join([*(f"{b} {kinds[b]}" for b in by), "coverage_pct double"]))
 
 
 def utm_forward(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:
@@ -211,8 +222,3 @@ def utm_forward(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:
         e = e + k * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         m = m + k * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     return 500_000 + 0.9996 * big * e, (0.0 if epsg // 100 == 326 else 10_000_000.0) + 0.9996 * big * m
-
-
-def read_parts(rows: Iterator) -> list:
-    """Plain lists of (x, y) from collected parts, for tests and drivers."""
-    return [[[(p["x"], p["y"]) for p in ring] for ring in part] for part in rows]

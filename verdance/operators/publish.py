@@ -21,7 +21,7 @@ def published_types(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     out = []
     for c in df.columns:
         kind = want.get(c)
-        number = F.col(c).cast("string").try_cast("double")
+        number = F.nanvl(F.col(c).cast("string").try_cast("double"), F.lit(None).cast("double"))
         if kind == "bigint":
             wrong |= number.isNotNull() & (number != F.floor(number))
             out.append(number.try_cast("bigint").alias(c))

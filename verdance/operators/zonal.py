@@ -14,6 +14,9 @@ from verdance.functions import geometry as G
 Grid = tuple[float, float, float, float, float, float]
 
 
+_OWN = ("__tx", "__ty", "__zwest", "__zsouth", "__zeast", "__znorth", "__xs", "__ys", "__rings", "parts")
+
+
 def cell_boxes(pixels: DataFrame, grid: Grid) -> DataFrame:
     """pixels with their centre (x, y) and box; grid is affine (a, b, c, d, e, f), without rotation for boxes."""
     a, b, c, d, e, f = grid
@@ -32,7 +35,8 @@ def _tiles(df: DataFrame, tile: float, west: str, south: str, east: str, north:
 
 def _zone_tiles(zones: DataFrame, zone_id: str, tile: float, extra: list[str]) -> DataFrame:
     box = G.bounds(F.col("parts"))
-    out = zones.where(F.col("parts").isNotNull()).select(F.col(zone_id), "parts", *extra, *[c.alias(f"__z{k}") for k, c in box.items()])
+    flat = [c.alias(f"__{k}") for k, c in G.flat(F.col("parts")).items()]
+    out = zones.where(F.col("parts").isNotNull()).select(F.col(zone_id), "parts", *flat, *extra, *[c.alias(f"__z{k}") for k, c in box.items()])
     return _tiles(out, tile, "__zwest", "__zsouth", "__zeast", "__znorth")
 
 
@@ -41,7 +45,7 @@ def centre_join(pixels: DataFrame, zones: DataFrame, grid: Grid, zone_id: str =
     cells = cell_boxes(pixels, grid).withColumns({"__tx": F.floor(F.col("x") / tile), "__ty": F.floor(F.col("y") / tile)})
     met = cells.join(_zone_tiles(zones, zone_id, tile, extra or []), ["__tx", "__ty"])
     in_box = F.col("x").between(F.col("__zwest"), F.col("__zeast")) & F.col("y").between(F.col("__zsouth"), F.col("__znorth"))
-    return met.where(in_box & G.inside(F.col("x"), F.col("y"), F.col("parts"))).drop("__tx", "__ty", "__zwest", "__zsouth", "__zeast", "__znorth", "parts")
+    return met.where(in_box & G.inside(F.col("x"), F.col("y"), F.col("parts"))).drop(*_OWN)
 
 
 def touch_join(pixels: DataFrame, zones: DataFrame, grid: Grid, zone_id: str = "id_parcela", tile: float = 1000.0, extra: list[str] | None = None) -> DataFrame:
@@ -51,8 +55,8 @@ def touch_join(pixels: DataFrame, zones: DataFrame, grid: Grid, zone_id: str = "
     met = met.where((F.col("west") < F.col("__zeast")) & (F.col("east") > F.col("__zwest")) & (F.col("south") < F.col("__znorth")) & (F.col("north") > F.col("__zsouth")))
     # a pair that meets in several tiles counts in the first alone
     first = (F.col("__tx") == F.floor(F.greatest("west", "__zwest") / tile)) & (F.col("__ty") == F.floor(F.greatest("south", "__zsouth") / tile))
-    met = met.where(first).withColumn("overlap", G.cell_area("parts", "west", "south", "east", "north"))
-    return met.where("overlap > 0").drop("__tx", "__ty", "__zwest", "__zsouth", "__zeast", "__znorth", "parts")
+    met = met.where(first).withColumn("overlap", G.cell_area("__xs", "__ys", "__rings", "west", "south", "east", "north"))
+    return met.where("overlap > 0").drop(*_OWN)
 
 
 def zonal_stats(pairs: DataFrame, zone: str | list[str], value: str, prefix: str = "") -> DataFrame:
