@@ -167,22 +167,26 @@ def union_area(shapes: list[list[list[tuple[float, float]]]], within: list[list[
             x = (base[i] - base[i + 1 :]) / d
         ok = np.isfinite(x) & (x > np.maximum(e[i, 0], e[i + 1 :, 0])) & (x < np.minimum(e[i, 2], e[i + 1 :, 2]))
         xs.update(x[ok].tolist())
-    cuts, total = np.array(sorted(xs)), 0.0
+    cuts, total, last = np.array(sorted(xs)), 0.0, len(shapes)
+    group = e[:, 4].astype(int)
     for a, b in zip(cuts, cuts[1:]):
         m = (a + b) / 2
         own = np.flatnonzero((e[:, 0] <= m) & (e[:, 2] >= m))
         ys = slope[own] * m + base[own]
-        order = own[np.argsort(ys, kind="stable")]
-        parity = dict.fromkeys(range(len(groups)), 0)
-        top = None
-        for k in order:
-            covered = lambda: any(parity[g] for g in range(len(shapes))) and (within is None or parity[len(shapes)])
-            was = covered()
-            parity[int(e[k, 4])] ^= 1
-            if not was and covered():
-                top = k
-            elif was and not covered():
-                total += (slope[k] * m + base[k] - slope[top] * m - base[top]) * (b - a)
+        order = np.argsort(ys, kind="stable")
+        parity, covers, wanted, low = [0] * len(groups), 0, within is None, 0.0
+        for y, g in zip(ys[order].tolist(), group[own[order]].tolist()):
+            was = covers > 0 and wanted
+            parity[g] ^= 1
+            if g == last:
+                wanted = bool(parity[g])
+            else:
+                covers += 1 if parity[g] else -1
+            now = covers > 0 and wanted
+            if now and not was:
+                low = y
+            elif was and not now:
+                total += (y - low) * (b - a)
     return float(total)
 
 
@@ -202,7 +206,8 @@ def coverage(footprints: DataFrame, aoi: DataFrame, by: list[str]) -> DataFrame:
     named = lambda p: [c.alias(f"{p}{k}") for k, c in flat(F.col("parts")).items()]
     one = F.broadcast(aoi.select(*named("a")).limit(1))
     kinds = dict(footprints.dtypes)
-    rows = footprints.where("parts is not null").select(*by, *named("f")).crossJoin(one)
+    # a footprint that comes again covers nothing new
+    rows = footprints.where("parts is not null").select(*by, "parts").distinct().select(*by, *named("f")).crossJoin(one)
     return rows.groupBy(*by).applyInPandas(run, ", ".join([*(f"{b} {kinds[b]}" for b in by), "coverage_pct double"]))
 
 
