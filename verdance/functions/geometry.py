@@ -208,7 +208,9 @@ def coverage(footprints: DataFrame, aoi: DataFrame, by: list[str]) -> DataFrame:
     kinds = dict(footprints.dtypes)
     # a footprint that comes again covers nothing new
     rows = footprints.where("parts is not null").select(*by, "parts").distinct().select(*by, *named("f")).crossJoin(one)
-    return rows.groupBy(*by).applyInPandas(run, ", ".join([*(f"{b} {kinds[b]}" for b in by), "coverage_pct double"]))
+    # a group costs far more than its bytes tell, so its partitions aren't to be merged by size
+    n = int(footprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, *by).groupBy(*by).applyInPandas(run, ", ".join([*(f"{b} {kinds[b]}" for b in by), "coverage_pct double"]))
 
 
 def utm_forward(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:

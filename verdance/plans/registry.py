@@ -436,7 +436,7 @@ SELECT date, round(cov, 6) AS coverage_pct FROM d""")
 def footprint_coverage(read):
     x = F.col("k") * 10
     wkt = F.format_string("geography'SRID=4326;POLYGON((%d 0, %d 0, %d 50, %d 50, %d 0))'", x, x + 10, x + 10, x, x)
-    rows = read("orders").select(F.to_date("o_orderdate").alias("date"), (F.col("o_custkey") % 10).alias("k")).select("date", G.parse_footprint(wkt).alias("parts"))
+    rows = read("orders").select(F.to_date("o_orderdate").alias("date"), (F.col("o_custkey") % 10).alias("k")).distinct().select("date", G.parse_footprint(wkt).alias("parts"))
     aoi = rows.sparkSession.range(1).select(G.parse_geojson(F.lit('{"type":"Polygon","coordinates":[[[0,0],[100,0],[100,40],[0,40],[0,0]]]}')).alias("parts"))
     return _round(G.coverage(rows, aoi, ["date"]), 6, "coverage_pct")
 
