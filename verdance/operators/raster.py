@@ -127,7 +127,8 @@ def focal(cells: DataFrame, radius: int, value: str = "value", keys: list[str] |
     keys = keys or []
     size = cells.groupBy(*keys).agg(F.max("row").alias("__h"), F.max("col").alias("__w"))
     spread = cells.select(*keys, "row", "col", F.col(value).alias("__v"))
-    spread = spread.join(F.broadcast(size), keys) if keys else spread.crossJoin(F.broadcast(size))
+    # one row for each raster; a single raster is one row
+    spread = spread.join(size, keys) if keys else spread.crossJoin(F.broadcast(size))
 
     def mirrored(c: str, top: str) -> Column:
         """Where the cell stands along an axis: itself, and before and after the border."""
