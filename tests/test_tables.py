@@ -173,3 +173,11 @@ def test_streams(spark, tmp_path):
     q.awaitTermination()
     got = sorted((r.total, r.cloud_pct) for r in spark.sql("select * from clouds").collect())
     assert got == [(4, 100.0), (20, 30.0)]
+
+
+def test_history_scan(spark, tmp_path):
+    assert tables.read_history(spark, f"{tmp_path}/none") is None
+    rows = spark.createDataFrame([("a", "Mill_A", dt.date(2024, 1, 1)), ("b", "Other", dt.date(2024, 1, 2))], "id_parcela string, ingenio string, fecha_deteccion date")
+    sinks.write_history(rows, f"{tmp_path}/h")
+    assert [r.id_parcela for r in tables.read_history(spark, f"{tmp_path}/h", "mill a").collect()] == ["a"]
+    assert tables.read_history(spark, f"{tmp_path}/h").count() == 2

@@ -143,3 +143,16 @@ def test_pipeline_isolates_errors(spark):
 
     out = pipeline.run(["d1", "d2"], None, make)
     assert len(out.tables) == 6 and set(out.errors) == {("d1", "NDWI"), ("d2", "NDWI")}
+
+
+def test_hectares_in_metres(spark):
+    side = 0.01
+    shape = '{"type":"Polygon","coordinates":[[[-91.0,14.0],[-90.99,14.0],[-90.99,14.01],[-91.0,14.01],[-91.0,14.0]]]}'
+    got = spark.range(1).select(G.hectares(G.parse_geojson(F.lit(shape)), 32615)).first()[0]
+    # a hundredth of a degree each way, on the ellipsoid, with the map's scale squared
+    lat = np.radians(14.005)
+    e2 = (1 / 298.257223563) * (2 - 1 / 298.257223563)
+    m = 6378137 * (1 - e2) / (1 - e2 * np.sin(lat) ** 2) ** 1.5
+    n = 6378137 / np.sqrt(1 - e2 * np.sin(lat) ** 2)
+    true = np.radians(side) ** 2 * m * n * np.cos(lat) / 10_000
+    assert abs(got / true - 1) < 2e-3

@@ -229,3 +229,17 @@ def utm_forward(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:
         e = e + k * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         m = m + k * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     return 500_000 + 0.9996 * big * e, (0.0 if epsg // 100 == 326 else 10_000_000.0) + 0.9996 * big * m
+
+
+def project(parts: Column, epsg: int) -> Column:
+    """A shape in degrees as one in metres."""
+    def point(p: Column) -> Column:
+        e, n = utm_forward(p["x"], p["y"], epsg)
+        return F.struct(e.alias("x"), n.alias("y"))
+
+    return F.transform(parts, lambda part: F.transform(part, lambda ring: F.transform(ring, point)))
+
+
+def hectares(parts: Column, epsg: int) -> Column:
+    """Area of a shape in degrees, measured in a UTM zone."""
+    return shape_area(project(parts, epsg)) / 10_000

@@ -239,3 +239,23 @@ def classes_union(frames: list[DataFrame]) -> DataFrame:
 def slot(order: list[Column], by: list[str]) -> Column:
     """Slot number from 0 in an order."""
     return F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
+
+
+def radar_or_zero(cells: DataFrame, radar: DataFrame | None, keys: list[str] | None = None) -> DataFrame:
+    """cells with VV and VH; 0, which no feature takes as valid, where there is no radar."""
+    keys = keys or CELL
+    if radar is None:
+        return cells.withColumns({b: F.lit(0.0) for b in K.RADAR_BANDS})
+    out = cells.join(radar.select(*keys, *K.RADAR_BANDS), keys, "left")
+    return out.withColumns({b: F.coalesce(F.nanvl(F.col(b).cast("double"), F.lit(0.0)), F.lit(0.0)) for b in K.RADAR_BANDS})
+
+
+def blank(cells: DataFrame, names: list[str]) -> DataFrame:
+    """The same cells without a value: what a product without any eligible parcel writes."""
+    return cells.select("row", "col", *[F.lit(None).cast("double").alias(n) for n in names])
+
+
+def index_report(cells: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """min, max, mean of the valid cells, and the share of cells that are neither null nor 0."""
+    v = F.col(value)
+    return cells.groupBy(*(by or [])).agg(F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), (F.count_if(v != 0) / F.count("*")).alias("nonzero_ratio"))

@@ -64,3 +64,10 @@ def pair_summary(pairs: DataFrame) -> DataFrame:
     """pairs, valid and success_pct (100 if there are none)."""
     ok = F.col("s2_exists") & F.col("s1_exists")
     return pairs.agg(F.count("*").alias("pairs"), F.count_if(ok).alias("valid"), F.when(F.count("*") == 0, 100.0).otherwise(100.0 * F.count_if(ok) / F.nullif(F.count("*"), F.lit(0))).alias("success_pct"))
+
+
+def match_pairs(files: DataFrame) -> DataFrame:
+    """role, scene_date, s2_file, s1_file, s2_exists, s1_exists of pair folders, from (path, length, role, scene_date, kind). A file under 1000 bytes isn't there; of several the largest, then the smaller path."""
+    best = lambda k: F.max_by(F.when(F.col("kind") == k, F.col("path")), F.when((F.col("kind") == k) & (F.col("length") >= 1000), F.struct("length", F.reverse("path"))))
+    out = files.where("role is not null").groupBy("role", "scene_date").agg(best("s2").alias("s2_file"), best("s1").alias("s1_file"))
+    return out.withColumns({"s2_exists": F.col("s2_file").isNotNull(), "s1_exists": F.col("s1_file").isNotNull()})

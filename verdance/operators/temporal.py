@@ -74,3 +74,8 @@ def overlap_count(history: DataFrame, piece: list[str], date: str | None = None,
 def missing(needed: DataFrame, have: DataFrame, on: list[str]) -> DataFrame:
     """What is needed and not there."""
     return needed.join(have.select(*on).distinct(), on, "left_anti")
+
+
+def lookback(date: Column, end: Column, days: int = 30, margin: int = 0) -> Column:
+    """Whether a date lies in the `days` up to the end, widened by a margin on both sides."""
+    return date.between(F.date_sub(end, days + margin), F.date_add(end, margin))

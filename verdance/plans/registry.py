@@ -564,3 +564,141 @@ def vegetation_forest(read):
     radar = g.select(F.lit(None).cast("date").alias("scene_date"), "row", "col", (F.col("v") + 1).alias("VV"), (F.col("v") * 2 + 1).alias("VH"))
     radar = radar.unionByName(radar.withColumn("scene_date", F.lit("2024-01-01").cast("date")))
     return cloud.remove_clouds(target, previous, radar, ["B04", "B08"], buffer=1, radius=5, trees=10, depth=6).select("row", "col", "source", "B04", "B08")
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS zafra, count(*) AS n FROM orders GROUP BY 1")
+def season_counts(read):
+    return read("orders").groupBy(F.year("o_orderdate").alias("zafra")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'")
+def mill_filter(read):
+    return read("customer").where(S.normalized_name(F.concat(F.lit("Mill_"), "c_mktsegment")) == S.normalized_name(F.lit("mill building"))).select("c_custkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-03-01' - 42 AND DATE '1997-03-13'")
+def lookback_window(read):
+    return read("orders").where(T.lookback(F.to_date("o_orderdate"), F.lit("1997-03-01").cast("date"), 30, 12)).select("o_orderkey")
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) + i AS day FROM orders, generate_series(0, 4) a(i) WHERE o_orderkey % 50 = 0".replace("+ i", "+ CAST(i AS INT)"))
+def inference_window(read):
+    d = F.to_date("o_orderdate")
+    return read("orders").where("o_orderkey % 50 = 0").select("o_orderkey", F.explode(T.inference_window(d, F.date_add(d, 2))).alias("day"))
+
+
+_FILES = "SELECT event_id, user_id AS g, CASE WHEN event_type = 'error' THEN 'd/s2_filled.tif' ELSE 'd/x' || CAST(event_id AS VARCHAR) || '.tif' END AS path, CAST(event_id % 3000 AS BIGINT) AS length FROM events"
+
+
+def _files(read):
+    path = F.when(F.col("event_type") == "error", "d/s2_filled.tif").otherwise(F.concat(F.lit("d/x"), F.col("event_id").cast("string"), F.lit(".tif")))
+    return read("events").select("event_id", F.col("user_id").alias("g"), path.alias("path"), (F.col("event_id") % 3000).alias("length"), F.col("event_id").alias("modificationTime"), "event_type")
+
+
+@query(f"""WITH f AS ({_FILES}), r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY CASE WHEN path LIKE '%s2_filled.tif' THEN 0 ELSE 1 END, length DESC, event_id DESC, path) AS n FROM f WHERE length >= 1000 OR path LIKE '%s2_filled.tif') SELECT g, path, length FROM r WHERE n = 1""")
+def pick_file(read):
+    return N.pick_file(_files(read), ["g"], ["s2_filled.tif"]).select("g", "path", "length")
+
+
+@query(f"""WITH f AS (SELECT *, event_id % 2 = 0 AS s2 FROM ({_FILES})), b AS (SELECT g, max(length) FILTER (s2 AND length >= 1000) AS l2, max(length) FILTER (NOT s2 AND length >= 1000) AS l1 FROM f GROUP BY 1) SELECT CAST(g AS VARCHAR) AS role, l2 IS NOT NULL AS s2_exists, l1 IS NOT NULL AS s1_exists FROM b""")
+def match_pairs(read):
+    f = _files(read).select("path", "length", F.col("g").cast("string").alias("role"), F.lit(None).cast("date").alias("scene_date"), F.when(F.col("event_id") % 2 == 0, "s2").otherwise("s1").alias("kind"))
+    return N.match_pairs(f).select("role", "s2_exists", "s1_exists")
+
+
+@query("SELECT count(*) AS pairs, count(*) FILTER (event_id % 3 <> 0 AND event_id % 5 <> 0) AS valid, 100.0::DOUBLE * count(*) FILTER (event_id % 3 <> 0 AND event_id % 5 <> 0) / count(*) AS success_pct FROM events")
+def pair_summary(read):
+    return N.pair_summary(read("events").select((F.col("event_id") % 3 != 0).alias("s2_exists"), (F.col("event_id") % 5 != 0).alias("s1_exists")))
+
+
+@query("SELECT l_suppkey, min(l_discount) AS \"min\", max(l_discount) AS \"max\", round(avg(l_discount), 8) AS mean, round(count(*) FILTER (l_discount <> 0) / count(*), 8) AS nonzero_ratio FROM lineitem GROUP BY 1")
+def index_report(read):
+    return _round(R.index_report(read("lineitem"), "l_discount", ["l_suppkey"]), 8, "mean", "nonzero_ratio")
+
+
+@query(f'SELECT "row", col, CAST(NULL AS DOUBLE) AS ndvi FROM {GRID}')
+def blank_raster(read):
+    return R.blank(_grid(read), ["ndvi"])
+
+
+@query(f"""SELECT "row", col, CASE WHEN event_type = 'view' THEN value ELSE 0 END AS "VV", CASE WHEN event_type = 'view' THEN value * 2 ELSE 0 END AS "VH", event_type = 'view' AND value <> 0 AND abs(value) < 1e6 AND abs(value * 2) < 1e6 AS valid FROM {GRID}""")
+def radar_zero_fill(read):
+    g = _grid(read)
+    radar = g.where("event_type = 'view'").select("row", "col", F.col("value").alias("VV"), (F.col("value") * 2).alias("VH"))
+    out = R.radar_or_zero(g.select("row", "col"), radar)
+    return out.withColumn("valid", S.radar_valid(F.col("VV"), F.col("VH")))
+
+
+@query("SELECT user_id, round(CASE WHEN count(*) FILTER (event_type = 'error') > 0 THEN count(*) FILTER (event_type = 'error' AND event_id % 2 = 0) * 100.0 / count(*) FILTER (event_type = 'error') ELSE 0 END, 6) AS filled_pct FROM events GROUP BY 1")
+def fill_percent(read):
+    error = F.col("event_type") == "error"
+    g = read("events").groupBy("user_id").agg(F.count_if(error).cast("double").alias("c"), F.count_if(error & (F.col("event_id") % 2 == 0)).cast("double").alias("f"))
+    return g.select("user_id", F.round(S.filled_percent(F.col("f"), F.col("c")), 6).alias("filled_pct"))
+
+
+@query("SELECT CAST(event_id // 100 // 16 AS INT) AS tile_r, CAST(event_id % 100 // 16 AS INT) AS tile_c, count(*) AS n FROM events GROUP BY 1, 2")
+def tile_keys(read):
+    return R.tile_keys(_grid(read), 16).groupBy("tile_r", "tile_c").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, 'GT_CO_DATA_' || o_orderstatus || '_Mill_A_' || strftime(CAST(o_orderdate AS DATE), '%Y_%m_%d') || '.parquet' AS name FROM orders")
+def product_file_name(read):
+    return read("orders").select("o_orderkey", S.file_name(F.lit("GT"), F.lit("CO"), F.col("o_orderstatus"), F.lit("Mill_A"), F.to_date("o_orderdate")).alias("name"))
+
+
+@query("""SELECT '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","day":' || CASE WHEN n_regionkey = 1 THEN 'null' ELSE '"2024-01-05"' END || '}' AS record FROM nation""")
+def row_records(read):
+    return P.records(read("nation").select("n_nationkey", "n_name", F.when(F.col("n_regionkey") != 1, F.lit("2024-01-05").cast("date")).alias("day")))
+
+
+@query("SELECT date, tile_id, min(product_name) AS product_name FROM (SELECT CAST(o_orderdate AS DATE) AS date, 'T' || CAST(o_custkey % 3 AS VARCHAR) AS tile_id, 'S2_' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS product_name FROM orders) GROUP BY 1, 2")
+def catalogue_dedupe(read):
+    rows = read("orders").select(F.to_date("o_orderdate").alias("date"), F.concat(F.lit("T"), (F.col("o_custkey") % 3).cast("string")).alias("tile_id"), F.concat(F.lit("S2_"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("product_name"))
+    return N.dedupe_catalogue(rows)
+
+
+@query(_CELLS.split("c AS (")[0].rstrip().rstrip(",") + " SELECT id FROM z WHERE x <= 30 AND x + w >= 12 AND y <= 9 AND y + h >= 2")
+def zone_box_filter(read):
+    return Z.box_filter(_zones(read), 12.0, 2.0, 30.0, 9.0).select("id")
+
+
+@query("""
+WITH x AS (SELECT event_id, value AS o, CASE WHEN event_id % 6 <> 0 THEN value * 2 END AS f, CASE event_id % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.25 WHEN 2 THEN 0.0 END AS w FROM events)
+SELECT event_id, round(CASE WHEN coalesce(w, 0) = 0 OR f IS NULL THEN o WHEN w >= 1 OR o IS NULL THEN f ELSE o * (1 - w) + f * w END, 8) AS value FROM x""")
+def blend_values(read):
+    k = F.col("event_id") % 4
+    w = F.when(k == 0, 1.0).when(k == 1, 0.25).when(k == 2, 0.0)
+    return read("events").select("event_id", F.round(R.blend(F.col("value"), F.when(F.col("event_id") % 6 != 0, F.col("value") * 2), w), 8).alias("value"))
+
+
+@query(f"""
+WITH z AS (SELECT l_suppkey AS zone, avg(l_discount) AS pot FROM lineitem GROUP BY 1), r AS (SELECT l_orderkey, l_linenumber, CASE WHEN pot = 0 THEN 0 ELSE l_discount / pot END AS q FROM lineitem JOIN z ON l_suppkey = zone)
+SELECT l_orderkey, l_linenumber, CASE WHEN round(q, 9) < 0.6 THEN 1 WHEN round(q, 9) < 0.9 THEN 2 WHEN round(q, 9) < 1.1 THEN 3 WHEN round(q, 9) < 1.3 THEN 4 ELSE 5 END AS k FROM r""")
+def potential_ratio_class(read):
+    li = read("lineitem")
+    pot = li.groupBy("l_suppkey").agg(F.avg("l_discount").alias("pot"))
+    q = F.round(S.raster_math(F.col("l_discount"), F.col("pot"), "divide"), 9)
+    return li.join(pot, "l_suppkey").select("l_orderkey", "l_linenumber", S.reclassify(q, K.POTENTIAL_CLASSES).alias("k"))
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'data_ndvi' WHEN 1 THEN 'data_ndwi' WHEN 2 THEN 'data_sg' ELSE 'data_maleza' END AS table_name, round((s_suppkey % 9 + 1) * 111.0 * 0.5 * 111, 6) AS km2 FROM supplier")
+def product_tables(read):
+    k = F.col("s_suppkey")
+    name = F.element_at(F.array(*[F.lit(f"x_{p}_y.parquet") for p in K.PRODUCTS]), (k % 4 + 1).cast("int"))
+    return read("supplier").select("s_suppkey", S.published_table(name).alias("table_name"), F.round(S.bbox_km2(F.lit(-91.0), F.lit(14.0), F.lit(-91.0) + k % 9 + 1, F.lit(14.5)), 6).alias("km2"))
+
+
+@query("SELECT o_orderkey, CAST(abs(date_diff('day', CAST(o_orderdate AS DATE), DATE '1996-01-01')) AS INT) AS days FROM orders")
+def days_between(read):
+    return read("orders").select("o_orderkey", S.days_between(F.to_date("o_orderdate"), F.lit("1996-01-01").cast("date")).alias("days"))
+
+
+@query("SELECT r.l_orderkey AS k, least(count(*), 3) AS n FROM lineitem r WHERE r.l_quantity IS NOT NULL GROUP BY 1")
+def complete_rows(read):
+    return P.complete_rows(read("lineitem").select("l_orderkey", "l_quantity")).groupBy(F.col("l_orderkey").alias("k")).agg(F.least(F.count("*"), F.lit(3)).alias("n"))
+
+
+@query("SELECT count(*) FILTER (o_orderstatus = 'P') AS n, count(DISTINCT CASE WHEN o_orderstatus = 'P' THEN o_orderkey END) AS ids FROM orders")
+def missing_starts(read):
+    rows = read("orders").select(F.col("o_orderkey").alias("id_parcela"), F.when(F.col("o_orderstatus") != "P", F.to_date("o_orderdate")).alias("fecha_inicio"))
+    return P.missing_starts(rows).select("n", F.size("ids").cast("long").alias("ids"))

@@ -86,3 +86,12 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
     role, date = S.folder_role(F.col("path"))
     low = F.lower(F.element_at(F.split("path", "/"), -1))
     return files.withColumns({"role": role, "scene_date": date, "kind": F.when(low.contains("s1"), "s1").otherwise("s2")})
+
+
+def read_history(spark: SparkSession, path: str, mill: str | None = None) -> DataFrame | None:
+    """The weed history, of one mill if given; nothing if there is none yet."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    return df if mill is None else df.where(S.normalized_name(F.col("ingenio")) == S.normalized_name(F.lit(mill)))
