@@ -44,10 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write df as Parquet into the shared folder and read it back: cuts the lineage, survives lost executors. The table goes when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -68,8 +68,14 @@ class ToxicModel:
         return known
 
     def scores(self, text: str | None) -> list[float]:
-        get = self.cache.get
-        return [s if (s := get(c)) is not None else self.chunk(c) for c in (text or "").lower().split()]
+        """Of each run without white space. The k-th time that a text has the same run, it counts for a k-th: repeats are no new evidence."""
+        get, chunks = self.cache.get, (text or "").lower().split()
+        out = [s if (s := get(c)) is not None else self.chunk(c) for c in chunks]
+        seen: dict[str, int] = {}
+        for i in [i for i, s in enumerate(out) if s > 0]:
+            k = seen[chunks[i]] = seen.get(chunks[i], 0) + 1
+            out[i] = self.rest + (out[i] - self.rest) / k
+        return out
 
     def chance(self, score: float, n: int) -> float:
         """That plain text of n tokens has a segment of this score or more."""
@@ -240,11 +246,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-
     return np.r_[b[0] - (out * mean).sum(), out]
 
 
-def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows: int = 16_384, prior: float = 8.0, drift: float = 0.2) -> ToxicModel:
+def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows: int = 16_384, prior: float | None = None, drift: float = 0.2) -> ToxicModel:
     """Fit on at most `rows` labelled documents outside the held-out fold.
 
     Each half of them is scored by counts of the other half to set lambda, K and
-    the logistic curve; the model's own scores use the counts of both.
+    the logistic curve; the model's own scores use the counts of both. The prior's
+    strength is 4 for each tenfold of toxic documents, as among more documents more
+    units stand out by chance.
     """
     half = F.pmod(F.xxhash64(F.lit("half"), F.coalesce("text", F.lit(""))), F.lit(2)).cast("int")
     sample = materialize(labelled_sample(docs, labels, "toxic", fold, held, rows).select("doc_id", "text", "y", half.alias("half")), "toxic-sample")
@@ -253,6 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held: int = 2, rows:
         return ToxicModel({}, -drift, weights=(-3.0, 0.0, 0.0))
     n = {(y, h): sizes[y, h] for y in (0, 1) for h in (0, 1)}
     counts = materialize(unit_counts(sample), "toxic-units")
+    prior = prior or 4 * math.log10(n[1, 0] + n[1, 1])
     # the classes as frequent as among the labels
     base = labels.where(F.col("toxic").isin(0, 1) & (fold_of(F.col("doc_id"), fold) != held)).agg(F.avg("toxic")).first()[0]
     weight = (1 - base) / base * (n[1, 0] + n[1, 1]) / (n[0, 0] + n[0, 1])
