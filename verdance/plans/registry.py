@@ -321,7 +321,7 @@ def push_stats(read):
     return P.push_stats(read("events").select(name.alias("file_name"), F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("v")), ["v"])
 
 
-@query("""SELECT 'SMART_GROWTH' AS product, count(*) AS "rows", count(*) FILTER (event_type = 'error') AS null_ages, 0 AS null_means, min(value) FILTER (value > 0) AS sg_low, max(value) FILTER (value > 0) AS sg_high, count(*) FILTER (event_type = 'view') AS critical, round(100.0 * count(*) FILTER (event_type = 'error') / count(*), 6) AS null_age_pct FROM events""")
+@query("""SELECT 'SMART_GROWTH' AS product, count(*) AS "rows", count(*) FILTER (event_type = 'error') AS null_ages, CAST(0 AS BIGINT) AS null_means, min(value) FILTER (value > 0) AS sg_low, max(value) FILTER (value > 0) AS sg_high, count(*) FILTER (event_type = 'view') AS critical, round(100.0 * count(*) FILTER (event_type = 'error') / count(*), 6) AS null_age_pct FROM events""")
 def audit(read):
     rows = read("events").select(F.when(F.col("event_type") != "error", F.col("user_id")).alias("edad"), F.col("value").alias("sg_mean"), F.when(F.col("event_type") == "view", "Critica").alias("status_maleza"))
     return _round(P.audit(rows, "SMART_GROWTH"), 6, "null_age_pct").drop("missing_columns")
@@ -383,7 +383,7 @@ def _shape(x, y, w, h):
     return F.array(F.array(box(x, y, w, h), box(x + w / 4, y + h / 4, w / 4, h / 4)))
 
 
-@query("SELECT p_partkey, round(p_size * 4.0 * 8 - p_size * 2.0, 6) AS area, CAST(p_partkey AS DOUBLE) AS west, p_partkey + p_size * 4.0 AS east FROM part")
+@query("SELECT p_partkey, CAST(p_size * 4.0 * 8 - p_size * 2.0 AS DOUBLE) AS area, CAST(p_partkey AS DOUBLE) AS west, CAST(p_partkey + p_size * 4.0 AS DOUBLE) AS east FROM part")
 def polygon_area(read):
     shape = _shape(F.col("p_partkey").cast("double"), F.lit(0.0), F.col("p_size") * 4.0, F.lit(8.0))
     rows = read("part").select("p_partkey", shape.alias("parts"))
@@ -432,7 +432,7 @@ def clip_centre(read):
 
 @query("""
 WITH d AS (SELECT date, least(100.0, sum(w)) AS cov FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey % 10 AS k, 10.0 AS w FROM orders GROUP BY 1, 2) GROUP BY 1)
-SELECT date, round(cov, 6) AS coverage_pct FROM d""")
+SELECT date, CAST(cov AS DOUBLE) AS coverage_pct FROM d""")
 def footprint_coverage(read):
     x = F.col("k") * 10
     wkt = F.format_string("geography'SRID=4326;POLYGON((%d 0, %d 0, %d 50, %d 50, %d 0))'", x, x + 10, x + 10, x, x)
@@ -531,7 +531,7 @@ def elapsed_text(read):
     return read("supplier").select("s_suppkey", S.elapsed(F.col("s_suppkey") * 37).alias("elapsed"))
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 2026.0 END AS zafra, CAST(CASE WHEN event_id % 5 <> 0 THEN event_id END AS DOUBLE) AS edad, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(event_id % 11 AS BIGINT) END AS company_id FROM events WHERE event_id % 13 <> 0""")
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 2026.0::DOUBLE END AS zafra, CAST(CASE WHEN event_id % 5 <> 0 THEN event_id END AS DOUBLE) AS edad, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(event_id % 11 AS BIGINT) END AS company_id FROM events WHERE event_id % 13 <> 0""")
 def published_types(read):
     k = F.col("event_id")
     rows = read("events").select("event_id", F.when(k % 3 == 0, "2026").alias("zafra"), F.when(k % 5 != 0, k.cast("string")).alias("edad"), F.when(k % 13 == 0, "1.5").when(k % 7 != 0, F.concat((k % 11).cast("string"), F.lit(".0"))).alias("company_id"))
@@ -681,7 +681,7 @@ def potential_ratio_class(read):
     return li.join(pot, "l_suppkey").select("l_orderkey", "l_linenumber", S.reclassify(q, K.POTENTIAL_CLASSES).alias("k"))
 
 
-@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'data_ndvi' WHEN 1 THEN 'data_ndwi' WHEN 2 THEN 'data_sg' ELSE 'data_maleza' END AS table_name, round((s_suppkey % 9 + 1) * 111.0 * 0.5 * 111, 6) AS km2 FROM supplier")
+@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'data_ndvi' WHEN 1 THEN 'data_ndwi' WHEN 2 THEN 'data_sg' ELSE 'data_maleza' END AS table_name, round((s_suppkey % 9 + 1) * 111.0::DOUBLE * 0.5 * 111, 6) AS km2 FROM supplier")
 def product_tables(read):
     k = F.col("s_suppkey")
     name = F.element_at(F.array(*[F.lit(f"x_{p}_y.parquet") for p in K.PRODUCTS]), (k % 4 + 1).cast("int"))
