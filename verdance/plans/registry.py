@@ -409,6 +409,16 @@ def _cells(read):
     return _grid(read).where("row < 40").select("row", "col", "value")
 
 
+def _all_zones(read):
+    """Every supplier, ten to a band of ten rows, so that zones reach as far down as events do."""
+    k = F.col("s_suppkey")
+    return read("supplier").select(k.alias("id"), _shape(k % 10 * 10 + F.lit(0.3), F.floor(k / 10) * 10 + F.lit(0.25), F.lit(7.0), F.lit(4.0)).alias("parts"), k.cast("double").alias("v"))
+
+
+def _all_cells(read):
+    return _grid(read).select("row", "col", "value")
+
+
 @query(_CELLS + 'SELECT id, "row", col, round(overlap, 9) AS overlap FROM m WHERE overlap > 1e-12')
 def cell_intersection_area(read):
     return Z.touch_join(_cells(read), _zones(read), _UNIT, "id", 8.0).select("id", "row", "col", F.round("overlap", 9).alias("overlap"))
@@ -430,6 +440,27 @@ def clip_centre(read):
     return Z.clip(_cells(read), _zones(read), _UNIT, "id", False, 8.0)
 
 
+@query()
+def cell_intersection_area_whole(read):
+    return Z.touch_join(_all_cells(read), _all_zones(read), _UNIT, "id", 8.0).select("id", "row", "col", F.round("overlap", 9).alias("overlap"))
+
+
+@query()
+def zone_pixel_join_whole(read):
+    pairs = Z.centre_join(_all_cells(read), _all_zones(read), _UNIT, "id", 8.0)
+    return pairs.groupBy("id").agg(F.count("*").alias("cells"), F.round(F.avg("value"), 8).alias("mean"), F.round(F.median("value"), 8).alias("median"))
+
+
+@query()
+def rasterize_burn_whole(read):
+    return Z.burn(_all_cells(read), _all_zones(read), _UNIT, "v", "id", True, 8.0)
+
+
+@query()
+def clip_centre_whole(read):
+    return Z.clip(_all_cells(read), _all_zones(read), _UNIT, "id", False, 8.0)
+
+
 @query("""
 WITH d AS (SELECT date, least(100.0, sum(w)) AS cov FROM (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey % 10 AS k, 10.0 AS w FROM orders GROUP BY 1, 2) GROUP BY 1)
 SELECT date, CAST(cov AS DOUBLE) AS coverage_pct FROM d""")
@@ -662,6 +693,11 @@ def zone_box_filter(read):
     return Z.box_filter(_zones(read), 12.0, 2.0, 30.0, 9.0).select("id")
 
 
+@query()
+def zone_box_filter_whole(read):
+    return Z.box_filter(_all_zones(read), 12.0, 2.0, 30.0, float("inf")).select("id")
+
+
 @query("""
 WITH x AS (SELECT event_id, value AS o, CASE WHEN event_id % 6 <> 0 THEN value * 2 END AS f, CASE event_id % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.25 WHEN 2 THEN 0.0 END AS w FROM events)
 SELECT event_id, round(CASE WHEN coalesce(w, 0) = 0 OR f IS NULL THEN o WHEN w >= 1 OR o IS NULL THEN f ELSE o * (1 - w) + f * w END, 8) AS value FROM x""")
