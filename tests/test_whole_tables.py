@@ -1,11 +1,11 @@
 """Queries on whole tables against brute force, on tables larger than the samples that the SQL reads."""
 
-import datetime as dt
 import statistics
 
 import pandas as pd
 import pytest
 
+from verdance.operators import raster as R
 from verdance.plans import registry
 
 TYPES = ["view", "click", "error", "purchase"]
@@ -64,3 +64,44 @@ def test_zones_meet_all_cells(spark, tables):
     assert same(rows(spark, tables, "rasterize_burn_whole"), [(r, c, burnt.get((r, c))) for r, c in value])
     assert same(rows(spark, tables, "clip_centre_whole"), [(r, c, value[r, c]) for r, c in {p for x in held.values() for p in x}])
     assert same(rows(spark, tables, "zone_box_filter_whole"), [(k,) for k in SUPPLIERS if k % 10 * 10 + 0.3 <= 30 and k % 10 * 10 + 7.3 >= 12 and k // 10 * 10 + 4.25 >= 2])
+
+
+def test_grids_to_their_last_row(spark, tables):
+    whole = {(i // 100, i % 100): v for i, _, v in EVENTS}
+    holed = {(i // 100, i % 100): None if t == "error" else v for i, t, v in EVENTS}
+    mirror = lambda i, n: -1 - i if i < 0 else 2 * n - 1 - i if i >= n else i
+    want = []
+    for r, c in whole:
+        x = [whole[mirror(r + i, 60), mirror(c + j, 100)] for i in (-1, 0, 1) for j in (-1, 0, 1)]
+        want.append((r, c, sum(x) / 9, statistics.pvariance(x)))
+    got = rows(spark, tables, "focal_mean_var_whole")
+    assert len(got) == 6000
+    for x, y in zip(sorted(got), sorted(want)):
+        assert x[:2] == y[:2] and abs(x[2] - y[2]) < 1e-5 and abs(x[3] - y[3]) < 1e-3
+    nearest = lambda r, c: min(((r - i) ** 2 + (c - j) ** 2, i, j) for i in range(r - 9, r + 10) for j in range(c - 9, c + 10) if holed.get((i, j)) is not None)
+    assert same(rows(spark, tables, "nearest_fill_whole"), [(r, c, holed[nearest(r, c)[1:]] if v is None else v) for (r, c), v in holed.items()])
+    want = []
+    for r in range(30):
+        for c in range(50):
+            # the target's centre lies in the middle of source cell (2 r, 2 c)
+            want.append((r, c, holed[2 * r, 2 * c]))
+    assert same(rows(spark, tables, "resample_bilinear_whole"), want)
+
+
+def test_nearest_fill_looks_on_where_nothing_is_close(spark):
+    cells = spark.createDataFrame([(r, c, 1.0 * r + c if (r, c) in ((0, 0), (0, 40), (30, 3)) else None) for r in range(40) for c in range(45)], "row int, col int, value double")
+    held = [(0, 0), (0, 40), (30, 3)]
+    got = {(x.row, x.col): x.value for x in R.nearest_fill(cells, "value", 20).collect()}
+    assert len(got) == 1800
+    for (r, c), v in got.items():
+        d, i, j = min(((r - i) ** 2 + (c - j) ** 2, i, j) for i, j in held)
+        assert v == (1.0 * i + j if d <= 400 else None)
+
+
+def test_the_forest_sees_all_events(spark, tables, monkeypatch):
+    from verdance.operators import cloud
+
+    seen = []
+    monkeypatch.setattr(cloud, "remove_clouds", lambda target, previous, radar, bands, **more: seen.append((target.count(), more)) or target.withColumn("source", target.SCL))
+    registry.queries()["vegetation_forest"](spark, tables)
+    assert seen == [(6000, {})]

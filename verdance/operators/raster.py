@@ -104,17 +104,26 @@ def temporal_fill(previous: DataFrame, bands: list[str], keys: list[str] | None
 def nearest_fill(cells: DataFrame, value: str = "value", radius: int = 50, keys: list[str] | None = None) -> DataFrame:
     """Cells with nulls filled from the nearest valid cell within `radius` (Euclidean); ties to the smaller row, then column.
 
-    Cells fall into blocks of `radius`; a null cell meets the valid cells of the nine
-    blocks around it through an equi-join, and one aggregation keeps the nearest.
+    Cells fall into blocks of the radius; a null cell meets the valid cells of the nine
+    blocks around it through an equi-join, and one aggregation keeps the nearest. A radius
+    over 5 is looked through only for cells with nothing valid within 5: what is nearest
+    there is nearest of all.
     """
     keys = keys or []
-    block = lambda c: F.floor(F.col(c) / radius)
     step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-    want = cells.where(F.col(value).isNull()).select(*keys, "row", "col").withColumn("dr", step).withColumn("dc", step)
-    want = want.withColumns({"__r": block("row") + F.col("dr"), "__c": block("col") + F.col("dc")})
-    have = cells.where(F.col(value).isNotNull()).select(*keys, F.col("row").alias("r2"), F.col("col").alias("c2"), F.col(value).alias("__v")).withColumns({"__r": block("r2"), "__c": block("c2")})
+    empty = cells.where(F.col(value).isNull()).select(*keys, "row", "col")
     d2 = (F.col("row") - F.col("r2")) * (F.col("row") - F.col("r2")) + (F.col("col") - F.col("c2")) * (F.col("col") - F.col("c2"))
-    best = want.join(have, [*keys, "__r", "__c"]).where(d2 <= radius * radius).groupBy(*keys, "row", "col").agg(F.min_by("__v", F.struct(d2, "r2", "c2")).alias("__fill"))
+
+    def nearest(want: DataFrame, reach: int) -> DataFrame:
+        block = lambda c: F.floor(F.col(c) / reach)
+        want = want.withColumn("dr", step).withColumn("dc", step)
+        want = want.withColumns({"__r": block("row") + F.col("dr"), "__c": block("col") + F.col("dc")})
+        have = cells.where(F.col(value).isNotNull()).select(*keys, F.col("row").alias("r2"), F.col("col").alias("c2"), F.col(value).alias("__v")).withColumns({"__r": block("r2"), "__c": block("c2")})
+        return want.join(have, [*keys, "__r", "__c"]).where(d2 <= reach * reach).groupBy(*keys, "row", "col").agg(F.min_by("__v", F.struct(d2, "r2", "c2")).alias("__fill"))
+
+    best = nearest(empty, min(radius, 5))
+    if radius > 5:
+        best = best.unionByName(nearest(empty.join(best, [*keys, "row", "col"], "left_anti"), radius))
     return cells.join(best, [*keys, "row", "col"], "left").withColumn(value, F.coalesce(value, "__fill")).drop("__fill")
 
 

@@ -266,6 +266,11 @@ def focal_mean_var(read):
     return R.focal(_grid(read).where("row < 40"), 1).select("row", "col", F.round("mean", 5).alias("mean"), F.round("variance", 3).alias("variance"))
 
 
+@query()
+def focal_mean_var_whole(read):
+    return R.focal(_grid(read), 1).select("row", "col", F.round("mean", 5).alias("mean"), F.round("variance", 3).alias("variance"))
+
+
 @query(f"""
 WITH g AS (SELECT "row", col, CASE WHEN event_type <> 'error' THEN value END AS v FROM {GRID} WHERE "row" < 40), h AS (SELECT "row" AS r2, col AS c2, v AS v2 FROM g WHERE v IS NOT NULL),
 x AS (SELECT "row", col, v2, row_number() OVER (PARTITION BY "row", col ORDER BY ("row" - r2) * ("row" - r2) + (col - c2) * (col - c2), r2, c2) AS n FROM g JOIN h ON abs("row" - r2) <= 10 AND abs(col - c2) <= 10 AND ("row" - r2) * ("row" - r2) + (col - c2) * (col - c2) <= 100 WHERE v IS NULL)
@@ -275,6 +280,11 @@ def nearest_fill(read):
     return R.nearest_fill(g, "value", 10)
 
 
+@query()
+def nearest_fill_whole(read):
+    return R.nearest_fill(_grid(read).select("row", "col", F.when(F.col("event_type") != "error", F.col("value")).alias("value")))
+
+
 @query("""SELECT l_orderkey, l_linenumber, round(greatest(-1, least(1, (l_quantity - l_tax * 100) / (l_quantity + l_tax * 100 + 1e-6))), 8) + 0.0 AS ndre, round(greatest(-1, least(1, (l_quantity - l_discount * 100) / (l_quantity + l_discount * 100 + 1e-6))), 8) + 0.0 AS ndwi FROM lineitem""")
 def index_ndre_ndwi(read):
     q = F.col("l_quantity")
@@ -524,6 +534,13 @@ def resample_bilinear(read):
     return _round(R.resample(g, _UNIT, target, (2.0, 0.0, -0.5, 0.0, 2.0, -0.5)), 6, "value")
 
 
+@query()
+def resample_bilinear_whole(read):
+    g = _grid(read).select("row", "col", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    target = g.where("row % 2 = 0 AND col % 2 = 0").select((F.col("row") / 2).cast("long").alias("row"), (F.col("col") / 2).cast("long").alias("col"))
+    return _round(R.resample(g, _UNIT, target, (2.0, 0.0, -0.5, 0.0, 2.0, -0.5)), 6, "value")
+
+
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(trunc(least(greatest(l_extendedprice - 20000, 0), 32767)) AS SMALLINT) END AS v FROM lineitem""")
 def clip_cast(read):
     v = F.when(F.col("l_linenumber") % 3 != 0, F.col("l_extendedprice") - 20000)
@@ -588,13 +605,12 @@ def vegetation_forest(read):
     """Radar-assisted fill: forests learn two bands from radar features of clear cells, and predict the cloud cells."""
     from verdance.operators import cloud
 
-    e = read("events").where("event_id < 5000")
-    g = e.select(F.floor(F.col("event_id") / 50).cast("int").alias("row"), (F.col("event_id") % 50).cast("int").alias("col"), F.col("value").alias("v"), (F.col("event_type") == "error").alias("c"))
+    g = read("events").select(F.floor(F.col("event_id") / 50).cast("int").alias("row"), (F.col("event_id") % 50).cast("int").alias("col"), F.col("value").alias("v"), (F.col("event_type") == "error").alias("c"))
     target = g.select("row", "col", F.when(F.col("c"), 9).otherwise(4).alias("SCL"), (F.col("v") * 10).alias("B04"), (F.col("v") * 20 + 5).alias("B08"))
     previous = g.select(F.lit("2024-01-01").cast("date").alias("scene_date"), F.lit(5).alias("days"), "row", "col", F.when(F.col("c") | (F.col("col") % 7 == 0), 9).otherwise(4).alias("SCL"), (F.col("v") * 10).alias("B04"), (F.col("v") * 20 + 5).alias("B08"))
     radar = g.select(F.lit(None).cast("date").alias("scene_date"), "row", "col", (F.col("v") + 1).alias("VV"), (F.col("v") * 2 + 1).alias("VH"))
     radar = radar.unionByName(radar.withColumn("scene_date", F.lit("2024-01-01").cast("date")))
-    return cloud.remove_clouds(target, previous, radar, ["B04", "B08"], buffer=1, radius=5, trees=10, depth=6).select("row", "col", "source", "B04", "B08")
+    return cloud.remove_clouds(target, previous, radar, ["B04", "B08"]).select("row", "col", "source", "B04", "B08")
 
 
 @query("SELECT CAST(year(o_orderdate) AS INT) AS zafra, count(*) AS n FROM orders GROUP BY 1")
