@@ -1,5 +1,6 @@
 """Queries on whole tables against brute force, on tables larger than the samples that the SQL reads."""
 
+import datetime as dt
 import statistics
 
 import pandas as pd
@@ -11,6 +12,10 @@ from verdance.plans import registry
 TYPES = ["view", "click", "error", "purchase"]
 EVENTS = [(i, TYPES[i * 7 % 11 % 4], i * 37 % 101 / 10) for i in range(6000)]
 SUPPLIERS = range(1, 61)
+FIRST = dt.date(1996, 11, 1)
+#: (orderkey, custkey, status, date), (partkey, date): no key is a multiple of 7, 97 or 50.
+ORDERS = [(50 * i + 1, 7 * i + 1, "OOF"[i % 3 if i % 4 else 0], FIRST + dt.timedelta(i * 3 % 170)) for i in range(200)]
+ITEMS = [(97 * i + 1, FIRST + dt.timedelta(i * 11 % 180)) for i in range(30)]
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +23,10 @@ def tables(tmp_path_factory):
     d = tmp_path_factory.mktemp("whole")
     pd.DataFrame(EVENTS, columns=["event_id", "event_type", "value"]).to_parquet(d / "events.parquet")
     pd.DataFrame({"s_suppkey": list(SUPPLIERS)}).to_parquet(d / "supplier.parquet")
+    orders = pd.DataFrame(ORDERS, columns=["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    items = pd.DataFrame(ITEMS, columns=["l_partkey", "l_shipdate"])
+    orders.assign(o_orderdate=pd.to_datetime(orders.o_orderdate).astype("datetime64[us]")).to_parquet(d / "orders.parquet")
+    items.assign(l_shipdate=pd.to_datetime(items.l_shipdate).astype("datetime64[us]")).to_parquet(d / "lineitem.parquet")
     return str(d)
 
 
@@ -105,3 +114,18 @@ def test_the_forest_sees_all_events(spark, tables, monkeypatch):
     monkeypatch.setattr(cloud, "remove_clouds", lambda target, previous, radar, bands, **more: seen.append((target.count(), more)) or target.withColumn("source", target.SCL))
     registry.queries()["vegetation_forest"](spark, tables)
     assert seen == [(6000, {})]
+
+
+def test_dates_of_all_orders_and_lineitems(spark, tables):
+    def close(day):
+        s = min({d for _, d in ITEMS}, key=lambda s: (abs((s - day).days), -s.toordinal()))
+        return s, abs((s - day).days)
+
+    days = {d for *_, d in ORDERS}
+    assert same(rows(spark, tables, "nearest_date_join_whole"), [(d, *close(d)) for d in days])
+    assert same(rows(spark, tables, "inference_window_whole"), [(k, d + dt.timedelta(i)) for k, _, _, d in ORDERS for i in range(5)])
+    share = {d: 100.0 * sum(x[3] == d and x[2] == "O" for x in ORDERS) / sum(x[3] == d for x in ORDERS) for d in days}
+    chosen = max(d for d in days if dt.date(1997, 3, 1) <= d <= dt.date(1997, 3, 30) and share[d] >= 95)
+    past = sorted((d for d in days if d < chosen and share[d] >= 95), reverse=True)[:5]
+    want = [(d, i, f"prev{i:02d}" if i else "inference", *close(d)) for i, d in enumerate([chosen, *past])]
+    assert same(rows(spark, tables, "scene_selection_whole"), want)

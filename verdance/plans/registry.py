@@ -161,6 +161,13 @@ def nearest_date_join(read):
     return T.nearest_date(left, right, "s2_date", "s", "s1_date", "s1_diff_days")
 
 
+@query()
+def nearest_date_join_whole(read):
+    left = read("orders").select(F.to_date("o_orderdate").alias("s2_date")).distinct()
+    right = read("lineitem").select(F.to_date("l_shipdate").alias("s")).distinct()
+    return T.nearest_date(left, right, "s2_date", "s", "s1_date", "s1_diff_days")
+
+
 @query("SELECT o_custkey AS id_parcela, o_orderkey, zafra FROM (SELECT *, year(o_orderdate) AS zafra, row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC, o_orderkey DESC) AS n FROM orders WHERE year(o_orderdate) < 1997) WHERE n = 1")
 def past_record_top1(read):
     rows = read("orders").select(F.col("o_custkey").alias("id_parcela"), "o_orderkey", F.year("o_orderdate").cast("string").alias("zafra"))
@@ -315,6 +322,13 @@ def scene_selection(read):
     return N.select_scenes(days, radar, F.lit("1997-03-01").cast("date"), F.lit("1997-03-30").cast("date")).select("date", "slot", "role", "s1_date", "s1_diff_days")
 
 
+@query()
+def scene_selection_whole(read):
+    days = read("orders").groupBy(F.to_date("o_orderdate").alias("date")).agg((100.0 * F.count_if(F.col("o_orderstatus") == "O") / F.count("*")).alias("coverage_pct")).withColumn("is_complete", F.col("coverage_pct") >= N.COVERAGE)
+    radar = read("lineitem").select(F.to_date("l_shipdate").alias("date_s1")).distinct()
+    return N.select_scenes(days, radar, F.lit("1997-03-01").cast("date"), F.lit("1997-03-30").cast("date")).select("date", "slot", "role", "s1_date", "s1_diff_days")
+
+
 @query("SELECT user_id, round(median(value), 8) AS value FROM events WHERE CAST(ts AS DATE) BETWEEN (SELECT max(CAST(ts AS DATE)) FROM events) - 60 AND (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY 1")
 def composite_median(read):
     e = read("events").select("user_id", F.to_date("ts").alias("scene_date"), "value")
@@ -634,6 +648,12 @@ def inference_window(read):
     return read("orders").where("o_orderkey % 50 = 0").select("o_orderkey", F.explode(T.inference_window(d, F.date_add(d, 2))).alias("day"))
 
 
+@query()
+def inference_window_whole(read):
+    d = F.to_date("o_orderdate")
+    return read("orders").select("o_orderkey", F.explode(T.inference_window(d, F.date_add(d, 2))).alias("day"))
+
+
 _FILES = "SELECT event_id, user_id AS g, CASE WHEN event_type = 'error' THEN 'd/s2_filled.tif' ELSE 'd/x' || CAST(event_id AS VARCHAR) || '.tif' END AS path, CAST(event_id % 3000 AS BIGINT) AS length FROM events"
 
 
