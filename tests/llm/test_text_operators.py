@@ -332,6 +332,18 @@ def test_distribution_finds_the_text_without_an_article():
     assert len(lines) == 5 and all(x.startswith("A sentence") for x in lines)
 
 
+LONG = "A sentence of the main text that goes on for a while. " * 4
+
+
+@pytest.mark.parametrize("around", ['<body class="single has-sidebar">{}</body>', '<html class="no-sidebar"><body>{}</body></html>', '<div id="page" class="with-header">{}</div>', '<body class="no-sidebar"><div class="site header-fixed"><div class="wrap ads-on">{}</div></div></body>'])
+@pytest.mark.parametrize("text", ['<article class="post category-social">{}</article>', "<article>{}</article>", "<main>{}</main>", "<div>{}</div>", '<article><div class="text no-share">{}</div></article>'])
+def test_names_do_not_mark_what_holds_the_text(around, text):
+    more = f'<div class="sidebar">Side {LONG}</div><div id="comments" class="comments-area"><article class="comment-body">Reader {LONG * 9}</article></div><div class="ad">Buy</div>'
+    assert html.main_lines(around.format(text.format(f"<p>{LONG}</p><p>{LONG}</p>") + more)) == [LONG.strip()] * 2
+    assert html.main_lines('<div class="x social">Short text</div>') == ["Short text"]
+    assert html.main_lines(f'<div><p>{LONG}</p></div><div class="related posts"><article>{LONG[:60]}</article></div>') == [LONG.strip()]
+
+
 @pytest.mark.parametrize("page", ["<a " * 50_000, "<" * 50_000, "<p>x" + "<div>" * 50_000, '<p title="' * 5_000, "<!--" * 20_000, "&#" * 20_000, "<script>" * 20_000])
 def test_broken_pages_take_one_pass(page):
     html.main_lines(page)

@@ -6,6 +6,8 @@ footers, sidebars, notices, adverts, forms and reader comments; and at least the
 for lines of an article element, short ones included. Weights are summed over sliding
 windows of lines. Where the sum rises to the surge the main text begins, and where it
 falls to nothing it ends. What lies between is kept, without the lines of the parts above.
+A class or id can also name what an element goes with ("no-sidebar"), so words there do not
+mark one that holds the page's text.
 """
 
 from __future__ import annotations
@@ -34,9 +36,12 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
 APART = frozenset("nav footer aside form menu dialog select button search head fieldset".split())
+LISTS = frozenset(("nav", "ul", "li", "menu"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Parts of class and id names that mark boilerplate; a whole part must match.
 NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs cookie cookies consent gdpr notice notices notification alert popup modal overlay sidebar sidenav aside menu nav navbar navigation topbar header masthead footer comment comments respond reply replies disqus discussion share sharing social related recommended recommendations promo promotion sponsor sponsored newsletter subscribe subscription signup login widget pagination pager toolbar skip".split())
+#: Those of reader comments, which can be longer than the text.
+COMMENTS = frozenset("comment comments respond reply replies disqus discussion".split())
 MAIN_NAMES = frozenset("article content main post entry story".split())
 ATTRIBUTE = re.compile(r"""([a-z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+").findall
@@ -54,15 +59,18 @@ def unclosed(m: re.Match) -> bool:
 
 
 class Lines:
-    """The page's lines: text, weight, whether boilerplate, whether in an article."""
+    """The page's lines: text, weight, whether boilerplate by markup, whether in an article, innermost mark by name (0: none)."""
 
     def __init__(self, html: str):
-        self.lines: list[tuple[str, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, bool, bool, int]] = []
+        #: Elements that a class or id marks: (mark around it, whether it may be a wrapper, whether in an article).
+        self.marks: list[tuple[int, bool, bool]] = [(0, False, False)]
+        self.mark = 0
         self.text: list[str] = []
         self.linked = 0
         self.in_link = 0
-        #: Open elements that matter: (name, boilerplate, article); and how many of each name.
-        self.open: list[tuple[str, bool, bool]] = []
+        #: Open elements that matter: (name, boilerplate, article, mark around it); and how many of each name.
+        self.open: list[tuple[str, bool, bool, int]] = []
         self.count: Counter = Counter()
         self.apart = self.main = 0
         # beyond the last ">" no tag ends: what looks like one there is looked at once
@@ -91,7 +99,7 @@ class Lines:
         if self.text:
             line = SPACE.sub(" ", "".join(self.text)).strip()
             if line:
-                self.lines.append((line, max(0, len(line) - self.linked), self.apart > 0, self.main > 0))
+                self.lines.append((line, max(0, len(line) - self.linked), self.apart > 0, self.main > 0, self.mark))
             self.text, self.linked = [], 0
 
     def start(self, name: str, attributes: str) -> None:
@@ -103,23 +111,30 @@ class Lines:
             self.in_link = 1
         if name not in BLOCKS or name in VOID or name == "p" and not attributes:
             return
-        apart, main = name in APART or name == "header" and not self.main, name in MAIN
+        apart, main, mark = name in APART or name == "header" and not self.main, name in MAIN, None
         if "=" in attributes or "hidden" in attributes:
             own = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
             parts = {p.lower() for p in PARTS(own.get("class", "") + " " + own.get("id", ""))}
-            apart |= bool(parts & NAMES) and not (main and name != "article") or own.get("role", "").lower() in ROLES
+            apart |= own.get("role", "").lower() in ROLES
             apart |= re.search(r"display\s*:\s*none", own.get("style", ""), re.IGNORECASE) is not None or re.search(r"(^|\s)hidden(\s|=|$)", attributes) is not None
             main |= own.get("role", "").lower() == "main" or own.get("itemprop", "") == "articleBody"
-        if name in MAIN and not apart and self.apart and not self.count["article"] and not self.count["main"] and all(n in ("nav", "ul", "li", "menu") for n, a, _ in self.open if a):
+            if parts & NAMES and name in LISTS:
+                apart = True
+            elif parts & NAMES and name not in ("html", "body", "main") and not (name == "article" and parts - NAMES):
+                mark = not parts <= NAMES and not parts & COMMENTS
+        if name in MAIN and not apart and mark is None and self.apart and not self.count["article"] and not self.count["main"] and all(n in LISTS for n, a, *_ in self.open if a):
             while self.open:  # a menu that was never closed
                 self.pop()
-        self.open.append((name, apart, main))
+        self.open.append((name, apart, main, self.mark))
+        if mark is not None:
+            self.marks.append((self.mark, mark, self.main > 0))
+            self.mark = len(self.marks) - 1
         self.count[name] += 1
         self.apart += apart
         self.main += main
 
     def pop(self) -> str:
-        name, apart, main = self.open.pop()
+        name, apart, main, self.mark = self.open.pop()
         self.count[name] -= 1
         self.apart -= apart
         self.main -= main
@@ -135,11 +150,50 @@ class Lines:
                 pass
 
 
+def boilerplate(page: Lines) -> list[bool]:
+    """Whether each line is boilerplate, by markup or by a class or id that names its part.
+
+    Names do not count on a wrapper: an element, not named as boilerplate outright, with
+    most of the page's text (in an article, or on a page without an article that no name
+    marks), or around the least marked article if all are marked.
+    """
+    n = len(page.marks)
+    held, free, total, comment = [0] * n, 0, 0, [False] * n
+    for k in range(1, n):
+        around, wrapper, _ = page.marks[k]
+        comment[k] = comment[around] or not wrapper
+    for _, w, b, _, k in page.lines:
+        if not b:
+            held[k] += w
+            total += 0 if comment[k] else w
+            free += 0 if k else w
+    for k in range(n - 1, 0, -1):
+        held[page.marks[k][0]] += held[k]
+    clear = any(w and m and not b and not k for _, w, b, m, k in page.lines)
+    wrapper = [False] * n
+    for k in range(1, n):
+        wrapper[k] = page.marks[k][1] and 2 * held[k] > total and (page.marks[k][2] or not clear)
+    depth = [0] * n
+    for k in range(1, n):
+        depth[k] = depth[page.marks[k][0]] + (not wrapper[k])
+    marked = {k for _, w, b, m, k in page.lines if w and m and not b}
+    if marked and all(depth[k] for k in marked):
+        k = min(marked, key=lambda k: (depth[k], -held[k]))
+        if held[k] >= free:
+            while k:
+                wrapper[k] |= page.marks[k][1]
+                k = page.marks[k][0]
+            for k in range(1, n):
+                depth[k] = depth[page.marks[k][0]] + (not wrapper[k])
+    return [b or depth[k] > 0 for *_, b, _, k in page.lines]
+
+
 def main_lines(html: str | None, window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines of the page's main text."""
-    lines = Lines(html or "").lines
-    inside = any(m and not b for _, _, b, m in lines)
-    weight = [0 if b or inside and not m else max(w, surge) if m else w for _, w, b, m in lines]
+    page = Lines(html or "")
+    lines, apart = page.lines, boilerplate(page)
+    inside = any(m and not b for (*_, m, _), b in zip(lines, apart))
+    weight = [0 if b or inside and not m else max(w, surge) if m else w for (_, w, _, m, _), b in zip(lines, apart)]
     sums, total = [], 0
     # the window that begins at each line
     for i in range(len(weight) - 1, -1, -1):
@@ -154,7 +208,8 @@ def main_lines(html: str | None, window: int = WINDOW, surge: int = SURGE) -> li
             on = False
         if on and weight[i]:
             kept.append(line)
-    return kept if kept else [x[0] for x, w in zip(lines, weight) if w]
+    # short pages; then those where names mark all that is left
+    return kept or [x[0] for x, w in zip(lines, weight) if w] or [line for line, w, b, *_ in lines if w and not b]
 
 
 def extract(pages: DataFrame, window: int = WINDOW, surge: int = SURGE) -> DataFrame:
