@@ -344,6 +344,18 @@ def test_names_do_not_mark_what_holds_the_text(around, text):
     assert html.main_lines(f'<div><p>{LONG}</p></div><div class="related posts"><article>{LONG[:60]}</article></div>') == [LONG.strip()]
 
 
+@pytest.mark.parametrize("page", ["<body>{}</body>", "<div>{}</div>", '<div class="wrap"><div class="post-content">{}</div></div>'])
+def test_short_lines_of_a_text_without_an_article(page):
+    links = "".join(f"<li><a href={i}>Item {i}</a></li>" for i in range(5))
+    ads = '<div class="ad">Buy</div>' * 3
+    text = f"<h1>A heading</h1><p>By someone</p><p>Monday</p><p>{LONG}</p><ul>{links}</ul>{ads}<p>Short end.</p><p><a href=x>A linked line</a></p><p>The end.</p>"
+    want = ["A heading", "By someone", "Monday", LONG.strip(), "Short end.", "A linked line", "The end."]
+    rest = f"<div><ul>{links}</ul></div><footer><p>Imprint</p></footer>"
+    assert html.main_lines(rest + page.format(text) + rest) == want
+    parts = f"<div><h2>Part one</h2></div><div>By someone</div><div>Monday</div><div><p>{LONG}</p></div>{ads}<div><p>Bye.</p></div>"
+    assert html.main_lines(rest + f'<div class="entry">{parts}</div>' + rest) == ["Part one", "By someone", "Monday", LONG.strip(), "Bye."]
+
+
 @pytest.mark.parametrize("page", ["<a " * 50_000, "<" * 50_000, "<p>x" + "<div>" * 50_000, '<p title="' * 5_000, "<!--" * 20_000, "&#" * 20_000, "<script>" * 20_000])
 def test_broken_pages_take_one_pass(page):
     html.main_lines(page)

@@ -6,6 +6,8 @@ footers, sidebars, notices, adverts, forms and reader comments; and at least the
 for lines of an article element, short ones included. Weights are summed over sliding
 windows of lines. Where the sum rises to the surge the main text begins, and where it
 falls to nothing it ends. What lies between is kept, without the lines of the parts above.
+Without an article, so are the other such lines of the same container: headings before,
+closing lines after, paragraphs that are links.
 A class or id can also name what an element goes with ("no-sidebar"), so words there do not
 mark one that holds the page's text.
 """
@@ -36,6 +38,7 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
 APART = frozenset("nav footer aside form menu dialog select button search head fieldset".split())
+CONTAINERS = frozenset("html body div section center td th dd details".split())
 LISTS = frozenset(("nav", "ul", "li", "menu"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Parts of class and id names that mark boilerplate; a whole part must match.
@@ -66,11 +69,16 @@ class Lines:
         #: Elements that a class or id marks: (mark around it, whether it may be a wrapper, whether in an article).
         self.marks: list[tuple[int, bool, bool]] = [(0, False, False)]
         self.mark = 0
+        #: Containers: (the one around it, whether a class or id names it as the main one); and of each line its container and whether it is a paragraph.
+        self.boxes: list[tuple[int, bool]] = [(0, False)]
+        self.box = 0
+        self.places: list[tuple[int, bool]] = []
+        self.block = ""
         self.text: list[str] = []
         self.linked = 0
         self.in_link = 0
-        #: Open elements that matter: (name, boilerplate, article, mark around it); and how many of each name.
-        self.open: list[tuple[str, bool, bool, int]] = []
+        #: Open elements that matter: (name, boilerplate, article, mark around it, container around it); and how many of each name.
+        self.open: list[tuple[str, bool, bool, int, int]] = []
         self.count: Counter = Counter()
         self.apart = self.main = 0
         # beyond the last ">" no tag ends: what looks like one there is looked at once
@@ -100,11 +108,13 @@ class Lines:
             line = SPACE.sub(" ", "".join(self.text)).strip()
             if line:
                 self.lines.append((line, max(0, len(line) - self.linked), self.apart > 0, self.main > 0, self.mark))
+                self.places.append((self.box, self.block == "p"))
             self.text, self.linked = [], 0
 
     def start(self, name: str, attributes: str) -> None:
         if name in BLOCKS:
             self.end()
+            self.block = name
         elif name == "br":
             self.text.append(" ")
         if name == "a":
@@ -112,10 +122,12 @@ class Lines:
         if name not in BLOCKS or name in VOID or name == "p" and not attributes:
             return
         apart, main, mark = name in APART or name == "header" and not self.main, name in MAIN, None
+        main_name = False
         if "=" in attributes or "hidden" in attributes:
             own = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
             parts = {p.lower() for p in PARTS(own.get("class", "") + " " + own.get("id", ""))}
             apart |= own.get("role", "").lower() in ROLES
+            main_name = bool(parts & MAIN_NAMES) and not parts & NAMES
             apart |= re.search(r"display\s*:\s*none", own.get("style", ""), re.IGNORECASE) is not None or re.search(r"(^|\s)hidden(\s|=|$)", attributes) is not None
             main |= own.get("role", "").lower() == "main" or own.get("itemprop", "") == "articleBody"
             if parts & NAMES and name in LISTS:
@@ -125,7 +137,10 @@ class Lines:
         if name in MAIN and not apart and mark is None and self.apart and not self.count["article"] and not self.count["main"] and all(n in LISTS for n, a, *_ in self.open if a):
             while self.open:  # a menu that was never closed
                 self.pop()
-        self.open.append((name, apart, main, self.mark))
+        self.open.append((name, apart, main, self.mark, self.box))
+        if name in CONTAINERS:
+            self.boxes.append((self.box, main_name and name not in ("html", "body")))
+            self.box = len(self.boxes) - 1
         if mark is not None:
             self.marks.append((self.mark, mark, self.main > 0))
             self.mark = len(self.marks) - 1
@@ -134,7 +149,7 @@ class Lines:
         self.main += main
 
     def pop(self) -> str:
-        name, apart, main, self.mark = self.open.pop()
+        name, apart, main, self.mark, self.box = self.open.pop()
         self.count[name] -= 1
         self.apart -= apart
         self.main -= main
@@ -143,6 +158,7 @@ class Lines:
     def close(self, name: str, _: str) -> None:
         if name in BLOCKS:
             self.end()
+            self.block = ""
         if name == "a":
             self.in_link = 0
         if self.count[name]:
@@ -188,6 +204,23 @@ def boilerplate(page: Lines) -> list[bool]:
     return [b or depth[k] > 0 for *_, b, _, k in page.lines]
 
 
+def around(page: Lines, kept: list[bool], weight: list[int]) -> list[bool]:
+    """Whether each line lies in a container of kept lines, or in the innermost one named as the main one with most of them."""
+    n = len(page.boxes)
+    held = [0] * n
+    for (k, _), on, w in zip(page.places, kept, weight):
+        held[k] += w if on else 0
+    near = [x > 0 for x in held]
+    total = sum(held)
+    for k in range(n - 1, 0, -1):
+        held[page.boxes[k][0]] += held[k]
+    main = max((k for k in range(n) if page.boxes[k][1] and total and 2 * held[k] >= total), default=0)
+    within = [False] * n
+    for k in range(1, n):
+        within[k] = main > 0 and (k == main or within[page.boxes[k][0]])
+    return [near[k] or within[k] for k, _ in page.places]
+
+
 def main_lines(html: str | None, window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines of the page's main text."""
     page = Lines(html or "")
@@ -200,16 +233,19 @@ def main_lines(html: str | None, window: int = WINDOW, surge: int = SURGE) -> li
         total += weight[i] - (weight[i + window] if i + window < len(weight) else 0)
         sums.append(total)
     sums.reverse()
-    kept, on = [], False
-    for i, (line, *_) in enumerate(lines):
+    kept, on = [False] * len(lines), False
+    for i in range(len(lines)):
         if not on and sums[i] >= surge and weight[i]:
             on = True
         elif on and not sums[i]:
             on = False
-        if on and weight[i]:
-            kept.append(line)
+        kept[i] = on and weight[i] > 0
+    if not inside:
+        near = around(page, kept, weight)
+        kept = [k or n and not b and (w > 0 or p) for k, n, b, w, (_, p) in zip(kept, near, apart, weight, page.places)]
+    text = [x[0] for x, k in zip(lines, kept) if k]
     # short pages; then those where names mark all that is left
-    return kept or [x[0] for x, w in zip(lines, weight) if w] or [line for line, w, b, *_ in lines if w and not b]
+    return text or [x[0] for x, w in zip(lines, weight) if w] or [line for line, w, b, *_ in lines if w and not b]
 
 
 def extract(pages: DataFrame, window: int = WINDOW, surge: int = SURGE) -> DataFrame:
