@@ -178,6 +178,15 @@ def test_variants_meet_at_four_bits():
     assert [w for _, w in simhash.segments(4)] == [21, 21, 22]
 
 
+def test_keep_one_tells_rows_apart_by_their_text(spark):
+    text = [" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma", "delta")]
+    # id 2 is a copy of 1 and a text of its own; null ids: copies of 1, and three of one text
+    rows = [(1, text[0]), (2, text[0]), (2, text[1]), (2, text[1]), (3, text[2]), (None, text[0]), (None, text[3]), (None, text[3]), (None, text[3])]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.columns == ["doc_id", "text"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, text[0]), (2, text[1]), (3, text[2]), (None, text[3])], key=repr)
+
+
 def test_keep_one(spark, docs, no_docs):
     out = simhash.keep_one(docs)
     assert out.columns == docs.columns

@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdance.llm.common import map_batches, materialize, text_bytes
 from verdance.llm.components import components
@@ -185,25 +186,53 @@ def near_duplicates(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42,
     rows are members of one class. component_id: smallest doc_id reachable; null ids
     count as none, so a component of null ids alone has a null id.
     """
+    fps, of = classes_of(docs, bits, k, seed, hot)
+    least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
+    member = of.join(least, "root").select("fp", "component_id")
+    return fps.join(member, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def classes_of(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """doc_id, fp of every row; and fp, rep (its smallest id), root (its component) of every fingerprint."""
     fps = materialize(fingerprints(docs, k, seed), "fingerprints")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = components(links(classes.select("fp"), bits, hot))
     of = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    of = materialize(of, "classes")
-    least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
-    member = of.join(least, "root").select("fp", "component_id")
-    return fps.join(member, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps, materialize(of, "classes")
 
 
 def keep_one(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42) -> DataFrame:
-    """The rows of docs, all columns, with one document of each component: the smallest id.
+    """The rows of docs, all columns, with one document of each component: the smallest id, of it the smallest fingerprint.
 
-    Only the ids that go are joined to the documents. Rows with a null id can't be told
-    apart and all stay; of rows that repeat an id, one stays.
+    A component of null ids alone keeps its smallest fingerprint. Only what goes is joined
+    to the documents: by id where each row has its own, else by id and fingerprint.
     """
-    found = materialize(near_duplicates(docs, bits, k, seed).select("doc_id", "component_id"), "simhash-groups")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    out = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
-    if found.where("doc_id is not null").groupBy("doc_id").count().where(F.col("count") > 1).isEmpty():
-        return out
-    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))
+    fps, of = classes_of(docs, bits, k, seed)
+    # null ids come last
+    order = F.struct(F.col("rep").isNull(), "rep", "fp")
+    stays = of.groupBy("root").agg(F.min(order).alias("s")).select(F.col("s.fp").alias("fp"), F.col("s.rep").alias("rep"))
+    rows = fps.groupBy("doc_id", "fp").count()
+    rows = rows.join(stays, "fp", "left").select("doc_id", "fp", "count", (F.col("doc_id").eqNullSafe(F.col("rep")) & stays["fp"].isNotNull()).alias("stays"))
+    rows = materialize(rows, "simhash-groups")
+    shared = rows.where("doc_id is not null").groupBy("doc_id").agg(F.sum("count").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"))
+    gone = rows.where("not stays").select(F.col("doc_id").alias("__gone"), F.col("fp").alias("__of"))
+    alone = docs.where("doc_id is not null").join(shared, docs["doc_id"] == F.col("__id"), "left_anti")
+    alone = alone.join(gone.select("__gone").distinct(), docs["doc_id"] == F.col("__gone"), "left_anti")
+    if rows.where("doc_id is null").isEmpty() and shared.isEmpty():
+        return alone
+    odd = docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(shared, docs["doc_id"] == F.col("__id"), "left_semi"))
+    odd = with_fingerprint(odd, k, seed)
+    odd = odd.join(gone, odd["doc_id"].cast("long").eqNullSafe(F.col("__gone")) & (odd["__fp"] == F.col("__of")), "left_anti")
+    return alone.unionByName(odd.dropDuplicates(["doc_id", "__fp"]).drop("__fp"))
+
+
+def with_fingerprint(docs: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
+    """docs, with the text's fingerprint as __fp."""
+    names = docs.columns
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fp = [fingerprint(t, k, seed) for t in batch.column("__raw").to_pylist()]
+        return pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(fp, pa.int64())], names=[*names, "__fp"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
+    return map_batches(docs.withColumn("__raw", text_bytes()), run, schema)
