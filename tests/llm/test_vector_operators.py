@@ -90,21 +90,66 @@ def test_near_duplicates_are_brute_force(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
 
 
-def test_recall_is_calibrated():
+@pytest.mark.parametrize("dims, m", [(8, 1024), (64, 1024), (64, 4096), (256, 2048), (64, 16_384)])
+def test_recall_is_calibrated(dims, m):
     """At the threshold itself, where pairs are hardest to find."""
-    rng, m = np.random.default_rng(11), 2048
-    width, count = neardup.calibrate(0.9, m)
-    a = rng.normal(size=(600, 64))
+    rng, pairs = np.random.default_rng(11), 600
+    n, width, count = neardup.calibrate(0.9, m, dims)
+    a = rng.normal(size=(pairs, dims))
     a /= np.linalg.norm(a, axis=1)[:, None]
-    b = rng.normal(size=(600, 64))
+    b = rng.normal(size=(pairs, dims))
     b -= (a * b).sum(axis=1)[:, None] * a
     b = 0.9 * a + np.sqrt(0.19) * b / np.linalg.norm(b, axis=1)[:, None]
-    (la, xa), (lb, xb) = neardup.entries(a, m), neardup.entries(b, m)
+    (la, xa), (lb, xb) = neardup.entries(a, m, n), neardup.entries(b, m, n)
     found = 0
-    for i in range(600):
+    for i in range(pairs):
         own = dict(zip(la[i].tolist(), xa[i].tolist()))
         found += sum(k in own and abs(own[k] - x) <= width for k, x in zip(lb[i].tolist(), xb[i].tolist())) >= count
-    assert found >= 0.97 * 600
+    assert found >= 0.985 * pairs
+
+
+def linked(x):
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    out = u @ u.T >= 0.9
+    np.fill_diagonal(out, False)
+    return out
+
+
+@pytest.mark.parametrize("shift", [0, 1, 2])
+def test_a_common_mean_fills_no_list(spark, monkeypatch, shift):
+    """The candidates stay well under all pairs where the vectors have a mean in common, and few links are lost."""
+    rng, n = np.random.default_rng(3), 1500
+    x = rng.normal(size=(n, 64)) + shift
+    for i in range(300):
+        r = rng.normal(size=64)
+        r -= (r @ x[i]) / (x[i] @ x[i]) * x[i]
+        c = rng.uniform(0.9, 0.93)
+        x[1000 + i] = 8 * (c * x[i] / np.linalg.norm(x[i]) + np.sqrt(1 - c * c) * r / np.linalg.norm(r))
+    x = np.float32(x).astype(float)
+    seen = {}
+    whole = neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", lambda df, name: seen.setdefault(name, whole(df, name)))
+    got = {r.vec_id: r.n_links for r in neardup.near_duplicates(frame(spark, enumerate(x))).collect()}
+    want = linked(x).sum(axis=1)
+    assert all(got[i] <= want[i] for i in range(n)) and sum(got.values()) >= [0.985, 0.985, 0.97][shift] * want.sum()
+    assert seen["candidates"].count() <= [0.02, 0.05, 0.4][shift] * n * n / 2
+
+
+def test_dense_groups_go_by_representatives(spark, monkeypatch):
+    """Links of a group of near copies are counted whole, though few pairs are compared; some lie between balls."""
+    rng = np.random.default_rng(5)
+    c = rng.normal(size=(2, 64))
+    c[1] = c[0] + 0.55 * c[1]
+    x = np.concatenate([c[0] + 0.1 * rng.normal(size=(300, 64)), c[1] + 0.12 * rng.normal(size=(200, 64)), rng.normal(size=(300, 64))])
+    x = np.float32(x).astype(float)
+    seen = {}
+    whole = neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", lambda df, name: seen.setdefault(name, whole(df, name)))
+    got = {r.vec_id: r for r in neardup.near_duplicates(frame(spark, enumerate(x))).collect()}
+    want = linked(x)
+    assert [got[i].n_links for i in range(len(x))] == want.sum(axis=1).tolist()
+    assert seen["ball-pairs"].count() <= 0.05 * want.sum()
+    assert {got[i].component_id for i in range(300)} == {0}
 
 
 def test_equal_vectors_are_one_class(spark):
