@@ -29,23 +29,47 @@ def odd_vectors(rng):
     return out + [out[20], out[20]]  # repeated rows
 
 
-@pytest.mark.parametrize("tree, queries", [(131_072, 16_384), (50, 7)])
-def test_top_products_are_brute_force(spark, tree, queries):
+@pytest.mark.parametrize("tree, batch, first", [(32 << 20, 64 << 20, 8), (3000, 4000, 2)])
+def test_top_products_are_brute_force(spark, tree, batch, first):
     vectors = odd_vectors(np.random.default_rng(1))
-    got = sorted(tuple(r) for r in topk.top_products(frame(spark, vectors), tree=tree, queries=queries).collect())
+    got = sorted(tuple(r) for r in topk.top_products(frame(spark, vectors), tree_bytes=tree, batch_bytes=batch, trees_first=first).collect())
     assert got == brute_top(dict(reversed([v for v in vectors if v[0] is not None])).items())
 
 
-def test_top_products_of_huge_components_and_few_rows(spark):
-    vectors = [(0, [1e30, -1e20]), (20, [1e15, 1.0]), (3, [2.0, 3.0])]
-    got = topk.top_products(frame(spark, vectors)).collect()
-    assert len(got) == 4 and all(-(1 << 63) <= r.score < 1 << 63 for r in got)
+def test_huge_components_are_exact(spark):
+    """Some vectors beyond what doubles and 64 bits hold, among usual ones: the order is that of whole numbers."""
+    rng = np.random.default_rng(2)
+    vectors = [(i, rng.normal(size=6)) for i in range(300)] + [(300 + i, rng.normal(size=6) * 10.0 ** rng.integers(5, 30)) for i in range(41)]
+    vectors += [(400, vectors[340][1]), (401, -vectors[340][1]), (402, [0.0] * 6)]
+    got = sorted(tuple(r) for r in topk.top_products(frame(spark, vectors)).collect())
+    cut = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    assert got == [(q, r, i, cut(s)) for q, r, i, s in brute_top(vectors)]
     assert topk.top_products(frame(spark, [])).count() == 0 and topk.top_products(frame(spark, [(20, [1.0])])).count() == 0
 
 
+def test_one_huge_vector_leaves_the_trees_alone():
+    """Few products are computed, with or without it."""
+    x = np.floor(64 * np.random.default_rng(4).normal(size=(6000, 8)))
+    t, seen = topk.Tree.build(topk.shrunk(x, topk.norms(x).max())), []
+    q = np.floor(64 * np.random.default_rng(5).normal(size=(50, 8)))
+    q[0] *= 1e30
+    i, j = t.search(topk.shrunk(q, topk.norms(q)), np.arange(6000), 5, 1e-12, np.full(50, -np.inf))
+    for n in range(1, 50):
+        seen += [set(np.argsort(-(x @ q[n]), kind="stable")[:5].tolist()) <= set(j[i == n].tolist())]
+    assert all(seen) and len(i) <= 50 * 8
+
+
+def test_copies_are_searched_once(spark):
+    """A third of the rows are one vector; every query has its own 20 best all the same."""
+    rng = np.random.default_rng(6)
+    one = rng.normal(size=5)
+    vectors = [(i, one if i % 3 == 0 else rng.normal(size=5)) for i in range(900)]
+    assert sorted(tuple(r) for r in topk.top_products(frame(spark, vectors)).collect()) == brute_top(vectors)
+
+
 def test_tree_keeps_its_bounds():
     x = np.floor(np.random.default_rng(3).normal(size=(3000, 6)) * 20)
-    t = topk.Tree.build(x)
+    t = topk.Tree.build(topk.shrunk(x, topk.norms(x).max()))
     assert sorted(np.concatenate(t.entries).tolist()) == list(range(3000))
 
     def rows(n):
