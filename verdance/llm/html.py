@@ -1,13 +1,16 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one for each block of the page. Each line has a
-weight: the characters of its text outside links; none for lines in menus, headers,
-footers, sidebars, notices, adverts, forms and reader comments; and at least the surge
-for lines of an article element, short ones included. Weights are summed over sliding
+weight: the characters of its text outside links. Weights are summed over sliding
 windows of lines. Where the sum rises to the surge the main text begins, and where it
-falls to nothing it ends. What lies between is kept, without the lines of the parts above.
-Without an article, so are the other such lines of the same container: headings before,
-closing lines after, paragraphs that are links.
+falls to nothing it ends; what lies between is kept. Lines of its container go with it:
+headings before, closing lines after, paragraphs that are links.
+
+Markup changes weights and no more. Lines in menus, headers, footers, sidebars, notices,
+adverts, forms and reader comments weigh nothing and are never kept. A line of an article
+element weighs more by a window's share of the surge, so that its short lines stay; the
+lines around it weigh a part, if the article holds most of the page's text. Windows don't
+reach across an article's edges.
 A class or id can also name what an element goes with ("no-sidebar"), so words there do not
 mark one that holds the page's text.
 """
@@ -26,6 +29,8 @@ from verdance.llm.common import map_batches
 
 #: Lines to a window, and the sum of weights that a main text begins with.
 WINDOW, SURGE = 3, 80
+#: What is left of the weight of lines around an article that holds most of the text.
+ASIDE = 0.25
 
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "object", "canvas", "math", "title", "noframes", "xmp")
 TOKEN = re.compile(
@@ -38,16 +43,29 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
 APART = frozenset("nav footer aside form menu dialog select button search head fieldset".split())
-CONTAINERS = frozenset("html body div section center td th dd details".split())
+CONTAINERS = frozenset("html body div section article main center td th dd details".split())
 LISTS = frozenset(("nav", "ul", "li", "menu"))
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Parts of class and id names that mark boilerplate; a whole part must match.
 NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs cookie cookies consent gdpr notice notices notification alert popup modal overlay sidebar sidenav aside menu nav navbar navigation topbar header masthead footer comment comments respond reply replies disqus discussion share sharing social related recommended recommendations promo promotion sponsor sponsored newsletter subscribe subscription signup login widget pagination pager toolbar skip".split())
 #: Those of reader comments, which can be longer than the text.
 COMMENTS = frozenset("comment comments respond reply replies disqus discussion".split())
+#: Words before or after a name that make a compound tell of the page instead: no-sidebar, comments-open.
+SETTING = frozenset("no non not has have with without hide hidden show is open closed on off free enabled disabled fixed".split())
 MAIN_NAMES = frozenset("article content main post entry story".split())
 ATTRIBUTE = re.compile(r"""([a-z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+").findall
+
+
+def names_in(words: str) -> set[str]:
+    """The parts of class and id words, but for compounds that tell of a setting."""
+    out: set[str] = set()
+    for word in words.split():
+        parts = [p.lower() for p in PARTS(word)]
+        out.update(p for p in parts if len(parts) == 1 or p not in NAMES or not SETTING & set(parts))
+    return out
+
+
 SPACE = re.compile(r"\s+")
 
 
@@ -125,7 +143,7 @@ class Lines:
         main_name = False
         if "=" in attributes or "hidden" in attributes:
             own = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
-            parts = {p.lower() for p in PARTS(own.get("class", "") + " " + own.get("id", ""))}
+            parts = names_in(own.get("class", "") + " " + own.get("id", ""))
             apart |= own.get("role", "").lower() in ROLES
             main_name = bool(parts & MAIN_NAMES) and not parts & NAMES
             apart |= re.search(r"display\s*:\s*none", own.get("style", ""), re.IGNORECASE) is not None or re.search(r"(^|\s)hidden(\s|=|$)", attributes) is not None
@@ -139,7 +157,7 @@ class Lines:
                 self.pop()
         self.open.append((name, apart, main, self.mark, self.box))
         if name in CONTAINERS:
-            self.boxes.append((self.box, main_name and name not in ("html", "body")))
+            self.boxes.append((self.box, (main_name or main and not apart) and name not in ("html", "body")))
             self.box = len(self.boxes) - 1
         if mark is not None:
             self.marks.append((self.mark, mark, self.main > 0))
@@ -225,27 +243,38 @@ def main_lines(html: str | None, window: int = WINDOW, surge: int = SURGE) -> li
     """The lines of the page's main text."""
     page = Lines(html or "")
     lines, apart = page.lines, boilerplate(page)
-    inside = any(m and not b for (*_, m, _), b in zip(lines, apart))
-    weight = [0 if b or inside and not m else max(w, surge) if m else w for (_, w, _, m, _), b in zip(lines, apart)]
-    sums, total = [], 0
+    own = [0 if b else w for (_, w, *_), b in zip(lines, apart)]
+    main = [m and not b for (*_, m, _), b in zip(lines, apart)]
+    held = sum(w for w, m in zip(own, main) if m)
+    part = ASIDE if held and 2 * held >= sum(own) else 1.0
+    more = -(-surge // window)
+    weight = [w + more if m and (w or p) else w if m else w * part for w, m, (_, p) in zip(own, main, page.places)]
+    kept = [False] * len(lines)
+    edges = [0, *(i for i in range(1, len(lines)) if lines[i][3] != lines[i - 1][3]), len(lines)]
+    for a, z in zip(edges, edges[1:]):
+        stretch(weight, kept, a, z, window, surge)
+    near = around(page, kept, own)
+    only = any(k and m for k, m in zip(kept, main))
+    kept = [k or n and not b and (w > 0 or p) and (m or not only) for k, n, b, w, m, (_, p) in zip(kept, near, apart, own, main, page.places)]
+    text = [x[0] for x, k in zip(lines, kept) if k]
+    # short pages; then those where names mark all that is left
+    return text or [x[0] for x, m in zip(lines, main) if m] or [x[0] for x, w in zip(lines, own) if w] or [line for line, w, b, *_ in lines if w and not b]
+
+
+def stretch(weight: list[float], kept: list[bool], a: int, z: int, window: int, surge: int) -> None:
+    """Mark as kept the lines from a to z between the points of surge and dive."""
+    sums, total = [0.0] * (z - a), 0.0
     # the window that begins at each line
-    for i in range(len(weight) - 1, -1, -1):
-        total += weight[i] - (weight[i + window] if i + window < len(weight) else 0)
-        sums.append(total)
-    sums.reverse()
-    kept, on = [False] * len(lines), False
-    for i in range(len(lines)):
-        if not on and sums[i] >= surge and weight[i]:
+    for i in range(z - 1, a - 1, -1):
+        total += weight[i] - (weight[i + window] if i + window < z else 0)
+        sums[i - a] = total
+    on = False
+    for i in range(a, z):
+        if not on and sums[i - a] >= surge and weight[i]:
             on = True
-        elif on and not sums[i]:
+        elif on and sums[i - a] <= 0:
             on = False
         kept[i] = on and weight[i] > 0
-    if not inside:
-        near = around(page, kept, weight)
-        kept = [k or n and not b and (w > 0 or p) for k, n, b, w, (_, p) in zip(kept, near, apart, weight, page.places)]
-    text = [x[0] for x, k in zip(lines, kept) if k]
-    # short pages; then those where names mark all that is left
-    return text or [x[0] for x, w in zip(lines, weight) if w] or [line for line, w, b, *_ in lines if w and not b]
 
 
 def extract(pages: DataFrame, window: int = WINDOW, surge: int = SURGE) -> DataFrame:
