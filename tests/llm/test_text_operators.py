@@ -85,6 +85,21 @@ def test_exchange_between_partitions_gains(spark):
     assert one <= many <= none and many - one <= 2
 
 
+def test_equal_pieces_are_spread(spark):
+    """A hot piece, and pieces without an id, fill no partition."""
+    rows = spark.range(0, 9000, 1, 4).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.when(F.col("id") % 3 > 0, 1 + F.col("id") % 97).otherwise(40).alias("length"), F.when(F.col("id") % 6 == 0, 7).otherwise(F.col("id")).alias("ids_crc32"))
+    dealt = packing._deal(rows, 9, 1, 1000).groupBy("part").count().collect()
+    assert len(dealt) == 9 and max(r["count"] for r in dealt) < 1500
+    got = packing.pack(rows, 100, 1000).collect()
+    assert len(got) == 9000 and all(r.gap >= 0 for r in got)
+    fill = {}
+    for r in got:
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in fill.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(own[-1]) <= 100
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(2)
     for _ in range(40):
@@ -231,6 +246,21 @@ def test_epochs_come_first_and_weights_steer(spark):
     assert sum(r.taken for r in heavy if r.doc_id < 200) > sum(r.taken for r in heavy if r.doc_id >= 200) + 600
 
 
+@pytest.mark.parametrize("weight", [None, 0.001, 1000.0, "mixed"])
+def test_slices_are_even_whatever_the_weights(spark, monkeypatch, weight):
+    """The same mix from one sort and from slices cut again and again; no sort holds more than its share."""
+    text = F.when(F.col("doc_id") % 2 == 0, "!!! a *** b").otherwise(F.concat(F.lit("word "), F.col("doc_id").cast("string")))
+    rows = spark.range(0, 4000, 1, 4).select(F.when(F.col("id") % 5 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") < 3000, "hot").otherwise("b").alias("source")).withColumn("text", F.coalesce(text, F.rand(3).cast("string")))
+    own = None if weight is None else F.when(F.col("doc_id") % 7 == 0, 1e-6).otherwise(50.0) if weight == "mixed" else F.lit(weight)
+    rows = rows.cache()
+    seen, whole = [], mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", lambda df, name: [seen.append((name, t := whole(df, name))), t][1])
+    a = mixing.mix(rows, own, slices=8, most_sorted=100).collect()
+    sorts = [r["rows"] for name, t in seen if name == "mix-slices" for r in t.collect()]
+    assert min(sorts) <= 100 and sorts[-1] <= 400
+    assert same(a, mixing.mix(rows, own).collect())
+
+
 def test_mixed_rows_and_empty(spark, docs, no_docs):
     out = mixing.mixed(docs)
     assert out.columns == docs.columns

@@ -8,9 +8,12 @@ it (complete epochs); of the rest, documents are taken by the smallest exponenti
 document, the one whose size is nearest to what is then left, is taken if that brings
 the source nearer to its target.
 
-The running sum is in two levels: keys fall into slices by their distribution, whose
-sums are added up by source; only the slice that the budget ends in is sorted. So a
-hot source is sorted in one small slice, and its rows are never in one task.
+The running sum is in levels: a source's keys are cut into slices at quantiles of that
+source, whatever the weights, and the slices' sums are added up; the slice in which the
+budget ends is cut again, until it is small, and only then sorted. Slices are cut at
+sampled quantiles but their sums are exact. So a hot source is sorted in one small slice,
+and its rows are never in one task. Rows whose keys are all equal are one slice; they are
+told apart by id and text.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from pyspark.sql import functions as F
 
 from verdance.llm.common import WORD, materialize
 
-#: Slices of a source's keys.
-SLICES = 4096
+#: Slices of a source's keys, and rows that are sorted in one task, about.
+SLICES, SORTED = 512, 20_000
 PATTERN = (5.0, 2.0, 1.0)
 
 
@@ -30,9 +33,10 @@ def size_of(text: Column) -> Column:
 
 
 def quality_of(text: Column, size: Column) -> Column:
-    """Weight of a document's key, from 1/9 to 1: fewer marks of junk a word weigh more."""
-    junk = F.coalesce(F.regexp_count(text, F.lit(r"[!%*#$&|]")), F.lit(0))
-    return F.lit(1.0) / (F.lit(1.0) + F.least(F.lit(8.0), F.lit(4.0) * junk / F.greatest(size, F.lit(1))))
+    """Weight of a document's key, from 1/9 to 1, where no quality is given: the share of its characters that aren't letters, digits or white space counts against it."""
+    marks = F.length(text) - F.length(F.regexp_replace(text, r"[^\p{L}\p{N}\x09-\x0D\x20]+", ""))
+    odd = F.coalesce(marks / F.greatest(F.length(text), F.lit(1)), F.lit(0.0))
+    return F.lit(1.0) / (F.lit(1.0) + F.least(F.lit(8.0), F.lit(8.0) * odd))
 
 
 def uniform(*cols: Column, seed: int = 42) -> Column:
@@ -65,14 +69,16 @@ def _keyed(docs: DataFrame, weight: Column | None, seed: int) -> DataFrame:
     """docs with their size, tie-breaking hash and key, under names of their own."""
     docs = docs.withColumn(SIZE, size_of(F.col("text"))).withColumn(TIE, F.xxhash64("text"))
     q = weight if weight is not None else quality_of(F.col("text"), F.col(SIZE))
-    return docs.withColumn(RANK, -F.ln(uniform(F.col("doc_id").cast("long"), seed=seed)) / F.greatest(q.cast("double"), F.lit(1e-9)))
+    # without an id, rows are told apart by their text
+    who = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.concat(F.lit("?"), F.col(TIE)))
+    return docs.withColumn(RANK, -F.ln(uniform(who, seed=seed)) / F.greatest(q.cast("double"), F.lit(1e-9)))
 
 
 def _same(a: str, b: str) -> Column:
     return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
 
 
-def plan(rows: DataFrame, budget: float = 1.5, most: float = 2.0, slices: int = SLICES) -> DataFrame:
+def plan(rows: DataFrame, budget: float = 1.5, most: float = 2.0, slices: int = SLICES, most_sorted: int = SORTED) -> DataFrame:
     """A row for each source of rows(doc_id, source, size, tie, key): its size, target, epochs, and what is taken of the rest.
 
     cut: the first (key, doc_id, tie) that the rest doesn't hold; close: the closing document.
@@ -81,16 +87,31 @@ def plan(rows: DataFrame, budget: float = 1.5, most: float = 2.0, slices: int =
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goal = materialize(goal.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-targets")
 
-    # the slice in which each source's rest ends
-    part = F.floor(F.lit(float(slices)) * (F.lit(1.0) - F.exp(-F.col("key")))).cast("int")
-    sliced = rows.where("size > 0").withColumn("slice", part)
-    running = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sliced.groupBy("source", "slice").agg(F.sum("size").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0)))
-    ends = sums.alias("s").join(goal.alias("g"), _same("s", "g")).where("before <= rest and before + n > rest").select("s.source", "slice", "before", "rest")
+    # the slice in which each source's rest ends: cut at quantiles, again and again, until it is small
+    own = rows.where("size > 0")
+    inside = own.join(goal.select(F.col("source").alias("__s"), F.lit(0).cast("long").alias("before"), "rest"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    sliced = own
+    while True:
+        at = F.percentile_approx("key", F.array(*[F.lit(i / slices) for i in range(1, slices)]), 10 * slices)
+        cuts = inside.groupBy("source", "before", "rest").agg(F.when(F.count("*") > most_sorted, at).alias("cuts"), F.count("*").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"))
+        cuts = materialize(cuts, "mix-slices")
+        # a row a source
+        large = cuts.where((F.col("rows") > most_sorted) & (F.col("low") < F.col("high")))
+        if large.isEmpty():
+            break
+        part = F.when(F.col("rows") > most_sorted, F.size(F.filter("cuts", lambda c: c < F.col("key")))).otherwise(0)
+        placed = inside.alias("i").join(cuts.select(F.col("source").alias("__s"), "cuts", "rows"), F.col("i.source").eqNullSafe(F.col("__s"))).withColumn("slice", part).drop("__s", "cuts", "rows")
+        running = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        sums = placed.groupBy("source", "slice", "before", "rest").agg(F.sum("size").alias("n"), F.count("*").alias("rows"))
+        sums = sums.withColumn("from", F.col("before") + F.coalesce(F.sum("n").over(running), F.lit(0)))
+        ends = materialize(sums.where("from <= rest and from + n > rest").select(F.col("source").alias("__s"), F.col("slice").alias("__slice"), "from"), "mix-ends")
+        inside = placed.drop("before").join(ends, F.col("source").eqNullSafe(F.col("__s")) & (F.col("slice") == F.col("__slice"))).withColumnRenamed("from", "before").drop("__s", "__slice", "slice")
+        inside = materialize(inside, "mix-inside")
+        if inside.count() >= cuts.agg(F.sum("rows")).first()[0]:
+            break
     # its rows in order: the first that would pass the rest
     inner = Window.partitionBy("source").orderBy("key", "doc_id", "tie")
-    last = sliced.alias("r").join(ends.alias("e"), _same("r", "e") & (F.col("r.slice") == F.col("e.slice"))).select("r.*", "before", "rest")
-    last = last.withColumn("upto", F.col("before") + F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
+    last = inside.withColumn("upto", F.col("before") + F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
     cut = last.where("upto > rest").groupBy("source").agg(F.min(F.struct("key", "doc_id", "tie")).alias("cut"), F.min(F.struct("upto", "size")).alias("u"))
     cut = materialize(cut.alias("c").join(goal.alias("g"), _same("c", "g")).select("c.source", "cut", (F.col("rest") - (F.col("u.upto") - F.col("u.size"))).alias("left")), "mix-cuts")
     # the document from there on that fills what is left best; none if nothing does
@@ -113,7 +134,7 @@ def _skinny(docs: DataFrame, weight: Column | None, seed: int) -> DataFrame:
     return materialize(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col(SIZE).alias("size"), F.col(TIE).alias("tie"), F.col(RANK).alias("key")), "mix-sizes")
 
 
-def mix(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most: float = 2.0, seed: int = 42, slices: int = SLICES) -> DataFrame:
+def mix(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most: float = 2.0, seed: int = 42, slices: int = SLICES, most_sorted: int = SORTED) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row.
 
     taken is size times 0 to `most` whole takes. A null text has size 0 and is never
@@ -122,13 +143,13 @@ def mix(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most
     and rows equal in all of these go together. Reruns agree. An empty table gives an empty one.
     """
     rows = _skinny(docs, weight, seed)
-    joined = rows.alias("r").join(plan(rows, budget, most, slices).alias("s"), _same("r", "s"))
+    joined = rows.alias("r").join(plan(rows, budget, most, slices, most_sorted).alias("s"), _same("r", "s"))
     return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * _takes("size", "key", "doc_id", "tie")).alias("taken"))
 
 
-def mixed(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most: float = 2.0, seed: int = 42, slices: int = SLICES) -> DataFrame:
+def mixed(docs: DataFrame, weight: Column | None = None, budget: float = 1.5, most: float = 2.0, seed: int = 42, slices: int = SLICES, most_sorted: int = SORTED) -> DataFrame:
     """The rows of docs, all columns, as often as the mix takes them. Documents meet their source's plan alone, not their own row again."""
-    state = plan(_skinny(docs, weight, seed), budget, most, slices)
+    state = plan(_skinny(docs, weight, seed), budget, most, slices, most_sorted)
     rows = _keyed(docs, weight, seed).alias("r").join(state.alias("s"), F.col("r.source").cast("string").eqNullSafe(F.col("s.source")))
     rows = rows.withColumn("__verdance_takes", _takes(SIZE, RANK, "doc_id", TIE)).where("__verdance_takes > 0")
     own = [F.col(f"r.`{c}`").alias(c) for c in docs.columns]

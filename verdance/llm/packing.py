@@ -30,7 +30,7 @@ _LONG = re.compile(rb"\S{4000}|\s{4000}").search
 #: Pieces that one partition packs, about.
 PARTITION = 20_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: The emptiest bin of every partition is handed over.
+#: Rounds of exchange between partitions, at most; each ends sooner if it gains nothing or the bound is reached.
 ROUNDS = 4
 
 
@@ -159,8 +159,26 @@ def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.
     return bins, offsets, np.asarray(fill, np.int64)
 
 
-def _pack(df: DataFrame, n: int, salt: int, size: int) -> DataFrame:
-    """One round: deal the pieces into partitions and pack each. loose: the bin may be handed over."""
+def _deal(df: DataFrame, n: int, salt: int, partition: int) -> DataFrame:
+    """The pieces with their partition, by a hash of all that a piece is.
+
+    Equal pieces share a hash: where one of 65,536 ranges of it holds more than half a
+    partition, its pieces are dealt by their place in the written table as well.
+    """
+    key = F.xxhash64(F.lit(salt), "doc_id", "piece", "start", "length", "ids_crc32")
+    part = lambda k: F.pmod(k, F.lit(n)).cast("int")
+    rows = df.select("doc_id", "piece", "start", "length", "ids_crc32", key.alias("key"), F.monotonically_increasing_id().alias("place"))
+    coarse = F.shiftrightunsigned("key", 48)
+    # at most 65,536 rows
+    hot = rows.groupBy(coarse.alias("c")).count().where(F.col("count") > partition // 2).select("c")
+    if n > 1 and not hot.isEmpty():
+        rows = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), coarse == F.col("c"), "left").drop("c")
+        return rows.withColumn("part", part(F.when(F.col("hot"), F.xxhash64("key", "place")).otherwise(F.col("key")))).drop("key", "place", "hot")
+    return rows.withColumn("part", part(F.col("key"))).drop("key", "place")
+
+
+def _pack(df: DataFrame, n: int, salt: int, size: int, partition: int = PARTITION) -> DataFrame:
+    """One round: deal the pieces into partitions and pack each. loose: the bin may be handed over; gap: bins of its partition over the bound."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # an order that the dealing does not decide
@@ -171,17 +189,19 @@ def _pack(df: DataFrame, n: int, salt: int, size: int) -> DataFrame:
         loose = (fill < size) if gap else np.arange(len(fill)) == fill.argmin()
         loose &= fill < size
         base = (np.int64(salt) << 56) + (np.int64(key[0]) << 24)
-        return pdf.drop(columns="part").assign(sequence_id=base + bins, offset=offsets, loose=loose[bins])
+        return pdf.drop(columns="part").assign(sequence_id=base + bins, offset=offsets, loose=loose[bins], gap=gap)
 
-    dealt = df.select("doc_id", "piece", "start", "length", "ids_crc32").withColumn("part", F.pmod(F.xxhash64(F.lit(salt), "doc_id", "piece"), F.lit(n)).cast("int"))
-    return dealt.groupBy("part").applyInPandas(run, f"{PIECES}, sequence_id long, offset long, loose boolean")
+    return _deal(df, n, salt, partition).groupBy("part").applyInPandas(run, f"{PIECES}, sequence_id long, offset long, loose boolean, gap long")
 
 
 def pack(rows: DataFrame, size: int = 1024, partition: int = PARTITION, rounds: int = ROUNDS) -> DataFrame:
-    """The pieces with sequence_id and offset. Sequence ids are any distinct numbers; offsets are gapless from 0.
+    """The pieces with sequence_id, offset and gap. Sequence ids are any distinct numbers; offsets are gapless from 0.
 
-    An empty table gives an empty one. Which pieces meet depends on their ids
-    alone, so reruns agree. Bins that a round improves replace those they came from.
+    gap: by how many bins the partition that packed the piece is over its certified
+    bound; 0 is proven best. An empty table gives an empty one. Which pieces meet depends
+    on what they are, so reruns agree, but for pieces of which there are very many equal
+    ones. Bins that a round improves replace those they came from; there are at most
+    `rounds` rounds.
     """
     rows = materialize(rows, "pieces")
     # at most `size` rows, one for each length
@@ -189,14 +209,14 @@ def pack(rows: DataFrame, size: int = 1024, partition: int = PARTITION, rounds:
     for length, n in rows.groupBy("length").count().collect():
         counts[length] = n
     total, bound = int(counts.sum()), lower_bound(counts, size)
-    out = materialize(_pack(rows, max(1, -(-total // partition)), 1, size), "packed")
+    out = materialize(_pack(rows, max(1, -(-total // partition)), 1, size, partition), "packed")
     used = out.where("offset = 0").count()
     for k in range(2, rounds + 2):
         if used <= bound or total <= partition:
             break
         pool = out.where("loose")
         n, before = pool.agg(F.count("*"), F.count_if(F.col("offset") == 0)).first()
-        again = materialize(_pack(pool, max(1, -(-n // partition)), k, size), "packed")
+        again = materialize(_pack(pool, max(1, -(-n // partition)), k, size, partition), "packed")
         after = again.where("offset = 0").count()
         if after >= before:
             break
@@ -206,5 +226,5 @@ def pack(rows: DataFrame, size: int = 1024, partition: int = PARTITION, rounds:
 
 
 def packed_sequences(docs: DataFrame, size: int = 1024, end_id: int = 2, path: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset, gap of every piece of every document."""
     return pack(pieces(docs, size, end_id, path), size)

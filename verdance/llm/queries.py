@@ -83,8 +83,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _MIX = r"""
-WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, len(regexp_extract_all(coalesce(text, ''), '[!%*#$&|]')) AS junk, md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '?')) AS m FROM documents),
-k AS (SELECT doc_id, source, size, -ln((CAST(('0x' || substr(m, 1, 13)) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE) * (1 + least(8, 4.0::DOUBLE * junk / greatest(size, 1))) AS key FROM d),
+WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, (length(text) - length(regexp_replace(text, '[^\p{L}\p{N}\x09-\x0D\x20]+', '', 'g')))::DOUBLE / greatest(length(text), 1) AS odd, md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '?')) AS m FROM documents),
+k AS (SELECT doc_id, source, size, -ln((CAST(('0x' || substr(m, 1, 13)) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE) * (1 + least(8.0::DOUBLE, 8.0::DOUBLE * coalesce(odd, 0))) AS key FROM d),
 s AS (SELECT source, sum(size) AS source_size FROM k GROUP BY 1), w AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM s),
 f AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce(sum(source_size) OVER (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS c FROM w),
 t AS (SELECT source, source_size, least(w * max(c) OVER (), 2.0::DOUBLE * source_size) AS target FROM f), g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
