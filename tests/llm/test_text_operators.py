@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -482,7 +483,7 @@ def test_urls(spark):
 
 
 def test_segmentation_is_the_cheapest():
-    model = urls.UrlModel({"a": 3.0, "ab": 3.5, "b": 2.0, "cab": 4.0}, {}, 0.0)
+    model = urls.UrlModel({"a": 3.0, "ab": 3.5, "b": 2.0, "cab": 4.0}, {})
 
     def best(name):
         costs = {"": (0.0, ())}
@@ -502,6 +503,27 @@ def test_segmentation_is_the_cheapest():
         assert "".join(model.segment(name)) == name and abs(cost(model.segment(name)) - best(name)) < 1e-9
 
 
+def test_scores_are_the_definition():
+    """Log-odds of every word and run of letters, from counts alone."""
+    block, allow, language = ["spamword", "cheap", "cheap"], ["garden", "cheap"], {"cheap": 0.5, "garden": 0.3, "gardens": 0.2}
+    odds, runs = urls.naive_bayes(block, allow, language)
+    p = lambda n, total, base: 0.5 * n / total + 0.5 * base
+    assert abs(odds["cheap"] - math.log(p(2, 3, 0.5) / p(1, 2, 0.5))) < 1e-12 and abs(odds["spamword"] - math.log(p(1, 3, 0.2) / p(0, 2, 0.2))) < 1e-12
+    model = urls.UrlModel({w: -math.log(x) for w, x in language.items()}, odds, runs)
+    unseen = [runs.get(r, 0.0) for r in ("^gar", "gard", "arde", "rden", "dens", "ens$")]
+    assert abs(model.score(["cheap", "gardens"]) - (model.prior + odds["cheap"] + urls.RUNS * sum(unseen) / 6)) < 1e-12
+    assert odds["garden"] < 0 < odds["spamword"] and model.word("gardens") < 0 and model.word("xy") == 0
+
+
+def test_unseen_names(spark):
+    """Words are judged whole, not by what they hold; forms that no example has are judged by their letters."""
+    hosts = {"winter.org": "allow", "essex.net": "allow", "window.net": "allow", "therapist.net": "allow", "adulteducation.net": "allow", "downloads.example.net": "allow", "leakednudes.net": "block", "casinosonline.biz": "block", "bestpokerbets.info": "block", "\u043f\u043e\u0447\u0442\u0430.net": "allow", "caf\u00e9.net": "allow"}
+    rows = [(i, f"https://{h}/a?q") for i, h in enumerate(hosts)] + [(99, "http://x.net/" + "casino" * 20_000), (100, "http://" + "q" * 100_000 + ".net/")]
+    got = {r.page_id: r for r in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules=[]).collect()}
+    assert {h: got[i].verdict for i, h in enumerate(hosts)} == hosts
+    assert got[99].verdict == "block" and len(got[99].words) == 20_002 and got[100].verdict == "allow"
+
+
 def test_empty_tables_everywhere(no_docs):
     assert tokens.token_counts(no_docs).count() == 0
     assert packing.packed_sequences(no_docs).count() == 0
