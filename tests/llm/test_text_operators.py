@@ -307,6 +307,23 @@ def test_quality_on_held_out(spark, labelled):
     assert len(rows) > 80 and accuracy(rows, truth) > 0.97
 
 
+def test_poor_texts_in_good_form(spark):
+    """Poor and good texts of the same form, told apart by their words alone; forms of the words that no sample holds count by their letters."""
+    rng, rows, labels = random.Random(8), [], []
+    poor = ["discount", "subscribe", "clickhere", "bestprice", "dealz", "voucher"]
+    for i in range(500):
+        words, bad = prose(rng, rng.randrange(30, 120)).split(), i % 4 == 0
+        if bad:
+            for k in range(0, len(words), 3):
+                words[k] = rng.choice(poor) + rng.choice(["", "", "s", "ed"])
+        rows.append((i, " ".join(words), "en", "a", 0))
+        labels.append((i, int(not bad), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    truth = {i: q for i, q, _ in labels}
+    got = [r for r in quality.quality(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect() if r.held_out]
+    assert len(got) > 70 and accuracy(got, truth) > 0.95
+
+
 def test_cosines_are_exact(spark, labelled):
     docs, labels = labelled
     model = quality.fit(docs, labels)

@@ -1,12 +1,13 @@
 """Document quality by votes of the nearest labelled documents in latent-semantic space.
 
-The terms of a document are pairs of adjacent character classes (letters by case,
-digits, spaces, line ends, each mark), so that symbol salad, shouting, link lists
-and the like have terms of their own in every language, and counts of words that
-repeat the one before and of words that aren't new. Term counts, damped and weighted
-by rarity, are projected on the leading singular vectors of a bounded sample of
-labelled documents. Those sample vectors go to every task; each document's cosine with
-all of them is computed exactly, in blocks, and its nearest vote by similarity.
+The terms of a document are its words and their runs of four letters, hashed, and pairs
+of adjacent character classes (letters by case, digits, spaces, line ends, each mark), so
+that symbol salad, shouting, link lists and the like have terms of their own in every
+language, and counts of words that repeat the one before and of words that aren't new.
+Term counts, damped and weighted by rarity, each kind at length 1, are projected on the
+leading singular vectors of a bounded sample of labelled documents. Those sample vectors
+go to every task; each document's cosine with all of them is computed exactly, in blocks,
+and its nearest vote by similarity.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -34,21 +36,45 @@ CLASSES[48:58] = 4
 CLASSES[list(MARKS)] = np.arange(6, 6 + len(MARKS))
 N = 6 + len(MARKS)
 #: The pairs; then words that repeat their predecessor, words seen before in the text, words, and the empty text.
-TERMS = N * N + 4
-BLOCK = 512
+SHAPES = N * N + 4
+#: Buckets of words and of their runs of letters.
+WORDS, RUNS = 4096, 2048
+TERMS = SHAPES + WORDS + RUNS
+BLOCK = 256
+#: Length of the words' part of a vector, and of the runs', against 1 of the shapes'.
+LEXICAL = 0.6
+CACHE = 100_000
+_hashed: dict[bytes, tuple[int, ...]] = {}
+
+
+def hashed(word: bytes) -> tuple[int, ...]:
+    """Buckets of a word and of its runs of four letters."""
+    if (known := _hashed.get(word)) is None:
+        edged = b"^" + word + b"$"
+        runs = {SHAPES + WORDS + crc32(edged[i : i + 4]) % RUNS for i in range(len(edged) - 3)} if len(word) <= 32 else ()
+        known = (SHAPES + crc32(word) % WORDS, *sorted(runs))
+        if len(_hashed) >= CACHE:
+            _hashed.clear()
+        if len(word) <= 64:
+            _hashed[word] = known
+    return known
 
 
 def term_counts(raw: bytes) -> np.ndarray:
-    """Counts of the whole text's terms."""
+    """Counts of the whole text's terms; of words and runs, in how many distinct words they occur."""
     out = np.zeros(TERMS, np.float32)
-    c = CLASSES[np.frombuffer(raw, np.uint8)]
-    if len(c) > 1:
-        out[: N * N] = np.bincount(c[:-1] * N + c[1:], minlength=N * N)
+    codes = np.frombuffer(raw, np.uint8)
+    for a in range(0, len(raw) - 1, 1 << 20):
+        c = CLASSES[codes[a : a + (1 << 20) + 1]]
+        out[: N * N] += np.bincount(c[:-1] * N + c[1:], minlength=N * N)
     words = raw.split()
     if words:
-        out[N * N :] = sum(map(eq, words, words[1:])), len(words) - len(set(words)), len(words), 0
+        distinct = set(raw.lower().split())
+        out[N * N : SHAPES] = sum(map(eq, words, words[1:])), len(words) - len(set(words)), len(words), 0
+        at = np.fromiter((k for w in distinct for k in hashed(w)), np.int64)
+        out[SHAPES:] = np.bincount(at - SHAPES, minlength=WORDS + RUNS)
     else:
-        out[-1] = 1
+        out[SHAPES - 1] = 1
     return out
 
 
@@ -64,9 +90,7 @@ class QualityModel:
     sharpness: float = 12.0
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        x = _damp(counts) * self.rarity
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-        y = x @ self.basis
+        y = _weighed(counts, self.rarity) @ self.basis
         return (y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
@@ -84,40 +108,59 @@ class QualityModel:
 
 
 def _damp(counts: np.ndarray) -> np.ndarray:
-    """Counts as shares of the document's pairs, square-rooted: long and short texts alike."""
-    total = np.maximum(counts[:, : N * N].sum(axis=1, keepdims=True), 1)
-    x = np.sqrt(counts / total)
+    """Counts of shapes as shares of the document's pairs, square-rooted: long and short texts alike; words and runs by logarithm."""
+    x = np.log1p(counts)
+    own = counts[:, :SHAPES]
+    total = np.maximum(own[:, : N * N].sum(axis=1, keepdims=True), 1)
+    x[:, :SHAPES] = np.sqrt(own / total)
     x[:, N * N : N * N + 2] *= 2
-    x[:, -1] = counts[:, -1]
+    x[:, SHAPES - 1] = own[:, -1]
     return x
 
 
+def _weighed(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Damped counts by rarity, each kind of terms at its length: shapes 1, words and runs `LEXICAL`."""
+    x = _damp(counts) * rarity
+    for a, b, share in ((0, SHAPES, 1.0), (SHAPES, SHAPES + WORDS, LEXICAL), (SHAPES + WORDS, TERMS, LEXICAL)):
+        x[:, a:b] *= share / np.maximum(np.linalg.norm(x[:, a:b], axis=1, keepdims=True), 1e-12)
+    return x
+
+
+def leading(d: np.ndarray, dims: int, seed: int = 5) -> np.ndarray:
+    """The leading right singular vectors, as columns, by power steps on a random subspace."""
+    k = min(dims + 16, *d.shape)
+    q = np.random.default_rng(seed).standard_normal((d.shape[1], k)).astype(np.float32)
+    for _ in range(4):
+        q = np.linalg.qr(d.T @ (d @ q))[0]
+    _, _, v = np.linalg.svd(d @ q, full_matrices=False)
+    return (q @ v.T)[:, : min(dims, k)].astype(np.float32)
+
+
 def fit(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0, rows: int = 4096, dims: int = 64) -> QualityModel | None:
     """Fit on at most `rows` labelled documents outside the held-out fold, half of each class; None if there are none."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"y": pdf["y"], "x": [term_counts(t).tobytes() for t in pdf["raw"]]})
+            counts = [term_counts(t) for t in pdf["raw"]]
+            at = [np.flatnonzero(c).astype("<i4") for c in counts]
+            yield pd.DataFrame({"y": pdf["y"], "at": [a.tobytes() for a in at], "n": [c[a].tobytes() for c, a in zip(counts, at)]})
 
     sample = materialize(labelled_sample(docs, labels, "quality", fold, held, rows).select("doc_id", text_bytes().alias("raw"), "y"), "quality-sample")
-    # at most `rows` rows of TERMS floats
-    got = sample.repartition(24, "doc_id").mapInPandas(count, "y int, x binary").toPandas()
+    # at most `rows` rows of at most TERMS numbers
+    got = sample.repartition(24, "doc_id").mapInPandas(count, "y int, at binary, n binary").toPandas()
     if got.empty:
         return None
-    x = np.stack([np.frombuffer(b, np.float32) for b in got["x"]])
-    y = got["y"].to_numpy()
-    order = np.lexsort([*x.T[-4:], y])
-    x, y = x[order], y[order]
+    got = got.sort_values(["y", "at", "n"], ignore_index=True)
+    x, y = np.zeros((len(got), TERMS), np.float32), got["y"].to_numpy()
+    for row, at, n in zip(x, got["at"], got["n"]):
+        row[np.frombuffer(at, "<i4")] = np.frombuffer(n, np.float32)
+    del got
     share = labels.where(F.col("quality").isin(0, 1) & (fold_of(F.col("doc_id"), fold) != held)).agg(F.avg("quality")).first()[0]
     seen = max(float(y.mean()), 1e-9), max(1 - float(y.mean()), 1e-9)
-    d = _damp(x)
     rarity = (1 + np.log(len(x) / (1 + (x > 0).sum(axis=0)))).clip(min=0.5).astype(np.float32)
-    d = d * rarity
-    d /= np.maximum(np.linalg.norm(d, axis=1, keepdims=True), 1e-12)
-    values, vectors = np.linalg.eigh((d.T @ d).astype(float))
-    basis = vectors[:, ::-1][:, : min(dims, len(x))].astype(np.float32)
+    basis = leading(_weighed(x, rarity), dims)
     model = QualityModel(rarity, basis, np.empty((0, 0)), y.astype(np.int8), ((1 - share) / seen[1], share / seen[0]))
-    model.vectors = model.project(x)
+    model.vectors = np.concatenate([model.project(x[a : a + BLOCK]) for a in range(0, len(x), BLOCK)])
     return model
 
 
