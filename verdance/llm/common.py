@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from verdance.session import ship
 
-__all__ = ["WORD", "fold_of", "labelled_sample", "map_batches", "materialize", "shared_dir", "ship", "table", "text_bytes"]
+__all__ = ["WORD", "discard", "fold_of", "labelled_sample", "map_batches", "materialize", "shared_dir", "ship", "table", "text_bytes"]
 
 #: Word: a run without the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,18 +49,35 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.deleteOnExit(place)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[id(out)] = (out, lambda: files.delete(place, True))
+    return out
+
+
+_written: dict[int, tuple[DataFrame, Callable]] = {}
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that materialize wrote and that nothing will read again."""
+    if found := _written.pop(id(df), None):
+        found[1]()
+
+
+#: Bytes of an Arrow batch that a kernel gets at once; a longer row comes alone.
+SLICE = 8 << 20
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
-    """Apply fn to every Arrow batch; fn returns a batch in the order of schema."""
+    """Apply fn to every Arrow batch, in slices of bounded bytes; fn returns a batch in the order of schema."""
     want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            rows = max(1, batch.num_rows * SLICE // max(batch.nbytes, 1))
+            for at in range(0, batch.num_rows, rows):
+                yield fn(batch.slice(at, rows))
 
     return df.mapInArrow(run, want)
 

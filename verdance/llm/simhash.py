@@ -187,18 +187,24 @@ def near_duplicates(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42,
     count as none, so a component of null ids alone has a null id.
     """
     fps, of = classes_of(docs, bits, k, seed, hot)
-    least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
-    member = of.join(least, "root").select("fp", "component_id")
-    return fps.join(member, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps.join(of.select("fp", "component_id"), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def classes_of(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """doc_id, fp of every row; and fp, rep (its smallest id), root (its component) of every fingerprint."""
+    """doc_id, fp of every row; and fp, rep (its smallest id), component_id, stays of every fingerprint.
+
+    stays: of each component the fingerprint with the smallest id, of these the smallest; null ids come last.
+    """
     fps = materialize(fingerprints(docs, k, seed), "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
     roots = components(links(classes.select("fp"), bits, hot))
-    of = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    return fps, materialize(of, "classes")
+    linked = materialize(classes.join(roots.withColumnRenamed("node", "fp"), "fp"), "linked")
+    # a row a component, written: a large component's rows are then split in the join
+    first = F.min(F.struct(F.col("rep").isNull(), "rep", "fp")).alias("s")
+    least = materialize(linked.groupBy("root").agg(first).select("root", F.col("s.rep").alias("component_id"), F.col("s.fp").alias("first")), "components")
+    of = linked.join(least, "root").select("fp", "component_id", (F.col("fp") == F.col("first")).alias("stays"))
+    of = classes.join(materialize(of, "member-of").withColumn("linked", F.lit(True)), "fp", "left")
+    return fps, materialize(of.select("fp", "rep", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("rep")).alias("component_id"), F.coalesce("stays", F.lit(True)).alias("stays")), "classes")
 
 
 def keep_one(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42) -> DataFrame:
@@ -208,9 +214,7 @@ def keep_one(docs: DataFrame, bits: int = 4, k: int = 4, seed: int = 42) -> Data
     to the documents: by id where each row has its own, else by id and fingerprint.
     """
     fps, of = classes_of(docs, bits, k, seed)
-    # null ids come last
-    order = F.struct(F.col("rep").isNull(), "rep", "fp")
-    stays = of.groupBy("root").agg(F.min(order).alias("s")).select(F.col("s.fp").alias("fp"), F.col("s.rep").alias("rep"))
+    stays = of.where("stays").select("fp", "rep")
     rows = fps.groupBy("doc_id", "fp").count()
     rows = rows.join(stays, "fp", "left").select("doc_id", "fp", "count", (F.col("doc_id").eqNullSafe(F.col("rep")) & stays["fp"].isNotNull()).alias("stays"))
     rows = materialize(rows, "simhash-groups")

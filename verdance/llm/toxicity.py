@@ -33,7 +33,7 @@ from verdance.llm.common import fold_of, labelled_sample, map_batches, materiali
 
 TOKENS = re.compile(r"[^\W\d_]+").findall
 STEMS = (4, 5, 6, 7)
-CACHE = 400_000
+CACHE = 150_000
 
 
 @dataclass
