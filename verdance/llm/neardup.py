@@ -18,7 +18,7 @@ between representatives and the radii decide for all members at once, else membe
 are compared with the other representative, else with each other. Links are counted,
 not listed; only one link for each pair of balls goes on to the components.
 
-The number of directions grows with the square root of the rows, so the length of a
+The number of directions grows with the 0.6th power of the rows, so the length of a
 list, and with it the work, grows more slowly than the pairs do. Directions are made in
 blocks and not kept.
 """
@@ -293,7 +293,7 @@ def links(classes: DataFrame, threshold: float = 0.9, recall: float = 0.995) ->
     The links of a vector are its ball's n but itself, and what `more` adds for it and for its ball.
     """
     means = centres(classes)
-    m = 1 << max(10, math.ceil(math.log2(64 * math.sqrt(max((n for n, _ in means.values()), default=1)))))
+    m = BLOCK * max(1, math.ceil(max((n for n, _ in means.values()), default=1) ** 0.6 / 32))
     cosine = least_cosine(classes, means, threshold)
     for m in (m << k for k in range(4)):
         settings = {bucket(d): calibrate(cosine, m, 1 << bucket(d) >> 1, recall) for d in means} or {0: (1, 1.0, 1)}
