@@ -1,4 +1,4 @@
-"""Queries on whole tables against brute force, on tables larger than the samples that the SQL reads."""
+"""Queries on whole tables against brute force."""
 
 import datetime as dt
 import statistics
@@ -58,21 +58,21 @@ def zone_cells():
 def test_zones_meet_all_cells(spark, tables):
     cells = list(zone_cells())
     value = {(i // 100, i % 100): v for i, _, v in EVENTS}
-    assert same(rows(spark, tables, "cell_intersection_area_whole"), [(k, r, c, round(a, 9)) for k, r, c, a, _ in cells if a > 1e-12])
+    assert same(rows(spark, tables, "cell_intersection_area"), [(k, r, c, round(a, 9)) for k, r, c, a, _ in cells if a > 1e-12])
     held = {}
     for k, r, c, _, centre in cells:
         if centre:
             held.setdefault(k, []).append((r, c))
     assert max(held) > 40 and max(r for x in held.values() for r, _ in x) >= 40
     want = [(k, len(x), statistics.fmean(value[p] for p in x), statistics.median(value[p] for p in x)) for k, x in held.items()]
-    assert same(rows(spark, tables, "zone_pixel_join_whole"), want)
+    assert same(rows(spark, tables, "zone_pixel_join"), want)
     burnt = {}
     for k, r, c, a, _ in cells:
         if a > 1e-12:
             burnt[r, c] = float(max(k, burnt.get((r, c), 0)))
-    assert same(rows(spark, tables, "rasterize_burn_whole"), [(r, c, burnt.get((r, c))) for r, c in value])
-    assert same(rows(spark, tables, "clip_centre_whole"), [(r, c, value[r, c]) for r, c in {p for x in held.values() for p in x}])
-    assert same(rows(spark, tables, "zone_box_filter_whole"), [(k,) for k in SUPPLIERS if k % 10 * 10 + 0.3 <= 30 and k % 10 * 10 + 7.3 >= 12 and k // 10 * 10 + 4.25 >= 2])
+    assert same(rows(spark, tables, "rasterize_burn"), [(r, c, burnt.get((r, c))) for r, c in value])
+    assert same(rows(spark, tables, "clip_centre"), [(r, c, value[r, c]) for r, c in {p for x in held.values() for p in x}])
+    assert same(rows(spark, tables, "zone_box_filter"), [(k,) for k in SUPPLIERS if k % 10 * 10 + 0.3 <= 30 and k % 10 * 10 + 7.3 >= 12 and k // 10 * 10 + 4.25 >= 2])
 
 
 def test_grids_to_their_last_row(spark, tables):
@@ -83,18 +83,18 @@ def test_grids_to_their_last_row(spark, tables):
     for r, c in whole:
         x = [whole[mirror(r + i, 60), mirror(c + j, 100)] for i in (-1, 0, 1) for j in (-1, 0, 1)]
         want.append((r, c, sum(x) / 9, statistics.pvariance(x)))
-    got = rows(spark, tables, "focal_mean_var_whole")
+    got = rows(spark, tables, "focal_mean_var")
     assert len(got) == 6000
     for x, y in zip(sorted(got), sorted(want)):
         assert x[:2] == y[:2] and abs(x[2] - y[2]) < 1e-5 and abs(x[3] - y[3]) < 1e-3
     nearest = lambda r, c: min(((r - i) ** 2 + (c - j) ** 2, i, j) for i in range(r - 9, r + 10) for j in range(c - 9, c + 10) if holed.get((i, j)) is not None)
-    assert same(rows(spark, tables, "nearest_fill_whole"), [(r, c, holed[nearest(r, c)[1:]] if v is None else v) for (r, c), v in holed.items()])
+    assert same(rows(spark, tables, "nearest_fill"), [(r, c, holed[nearest(r, c)[1:]] if v is None else v) for (r, c), v in holed.items()])
     want = []
     for r in range(30):
         for c in range(50):
             # the target's centre lies in the middle of source cell (2 r, 2 c)
             want.append((r, c, holed[2 * r, 2 * c]))
-    assert same(rows(spark, tables, "resample_bilinear_whole"), want)
+    assert same(rows(spark, tables, "resample_bilinear"), want)
 
 
 def test_nearest_fill_looks_on_where_nothing_is_close(spark):
@@ -122,10 +122,10 @@ def test_dates_of_all_orders_and_lineitems(spark, tables):
         return s, abs((s - day).days)
 
     days = {d for *_, d in ORDERS}
-    assert same(rows(spark, tables, "nearest_date_join_whole"), [(d, *close(d)) for d in days])
-    assert same(rows(spark, tables, "inference_window_whole"), [(k, d + dt.timedelta(i)) for k, _, _, d in ORDERS for i in range(5)])
+    assert same(rows(spark, tables, "nearest_date_join"), [(d, *close(d)) for d in days])
+    assert same(rows(spark, tables, "inference_window"), [(k, d + dt.timedelta(i)) for k, _, _, d in ORDERS for i in range(5)])
     share = {d: 100.0 * sum(x[3] == d and x[2] == "O" for x in ORDERS) / sum(x[3] == d for x in ORDERS) for d in days}
     chosen = max(d for d in days if dt.date(1997, 3, 1) <= d <= dt.date(1997, 3, 30) and share[d] >= 95)
     past = sorted((d for d in days if d < chosen and share[d] >= 95), reverse=True)[:5]
     want = [(d, i, f"prev{i:02d}" if i else "inference", *close(d)) for i, d in enumerate([chosen, *past])]
-    assert same(rows(spark, tables, "scene_selection_whole"), want)
+    assert same(rows(spark, tables, "scene_selection"), want)
