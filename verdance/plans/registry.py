@@ -50,10 +50,14 @@ def query(sql: str | None = None) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from verdance.plans import programs  # noqa: F401, registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from verdance.plans import programs  # noqa: F401
+
     return dict(_SQL)
 
 

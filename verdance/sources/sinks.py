@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdance.functions import scalar as S
@@ -21,6 +21,13 @@ def write_history(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fecha_deteccion").parquet(path)
 
 
+def drop_dates(spark: SparkSession, path: str, dates: list) -> None:
+    """Delete the history's partitions of some dates."""
+    for d in dates:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/fecha_deteccion={d}")
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 1000, dry_run: bool = False, properties: dict[str, str] | None = None) -> int:
     """Append in batches; a dry run only counts."""
     if dry_run:

@@ -55,11 +55,14 @@ def read_geojson(spark: SparkSession, path: str, season: str | None = None) -> D
 
 
 def read_curve(spark: SparkSession, path: str) -> DataFrame | None:
-    """The curve (edad_dias, <index>_potencial), or nothing if there is none: then the polynomials hold."""
-    try:
-        return read_any(spark, path)
-    except AnalysisException:
-        return None
+    """The curve (edad_dias, <index>_potencial), or nothing if there is none: then the polynomials hold. A curve that can't be read is an error."""
+    return read_any(spark, path) if exists(spark, path) else None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything lies at a path, which may hold wildcards."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at))
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
@@ -74,7 +77,12 @@ CATALOGUE = "value array<struct<Id:string,Name:string,Footprint:string,ContentDa
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """date, tile_id, product_name, product_id, footprint, cloud_cover from saved catalogue answers (JSON)."""
-    rows = spark.read.schema(CATALOGUE).json(path, multiLine=True).select(F.explode("value").alias("p"))
+    return catalogue_rows(spark.read.schema(CATALOGUE).json(path, multiLine=True))
+
+
+def catalogue_rows(answers: DataFrame) -> DataFrame:
+    """One row a product of the answers."""
+    rows = answers.select(F.explode("value").alias("p"))
     return rows.select(
         F.coalesce(S.scene_date(F.col("p.Name")), F.try_to_date(F.substring("p.ContentDate.Start", 1, 10))).alias("date"), S.tile_of(F.col("p.Name")).alias("tile_id"), F.col("p.Name").alias("product_name"),
         F.col("p.Id").alias("product_id"), F.col("p.Footprint").alias("footprint"), S.first_cloud_cover(F.col("p.Attributes")).alias("cloud_cover"))
@@ -90,8 +98,7 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
 
 def read_history(spark: SparkSession, path: str, mill: str | None = None) -> DataFrame | None:
     """The weed history, of one mill if given; nothing if there is none yet."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
+    if not exists(spark, path):
         return None
+    df = spark.read.parquet(path)
     return df if mill is None else df.where(S.normalized_name(F.col("ingenio")) == S.normalized_name(F.lit(mill)))
