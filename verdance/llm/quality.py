@@ -12,6 +12,7 @@ and its nearest vote by similarity.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -43,20 +44,19 @@ TERMS = SHAPES + WORDS + RUNS
 BLOCK = 256
 #: Length of the words' part of a vector, and of the runs', against 1 of the shapes'.
 LEXICAL = 0.6
-CACHE = 100_000
-_hashed: dict[bytes, tuple[int, ...]] = {}
-
-
-def hashed(word: bytes) -> tuple[int, ...]:
-    """Buckets of a word and of its runs of four letters."""
-    if (known := _hashed.get(word)) is None:
-        edged = b"^" + word + b"$"
-        runs = {SHAPES + WORDS + crc32(edged[i : i + 4]) % RUNS for i in range(len(edged) - 3)} if len(word) <= 32 else ()
-        known = (SHAPES + crc32(word) % WORDS, *sorted(runs))
-        if len(_hashed) >= CACHE:
-            _hashed.clear()
-        if len(word) <= 64:
-            _hashed[word] = known
+CACHE = 200_000
+_hashed: dict[bytes, bytes] = {}
+
+
+def hashed(word: bytes) -> bytes:
+    """Buckets of a word and of its runs of four letters, as 16-bit numbers."""
+    edged = b"^" + word + b"$"
+    runs = {WORDS + crc32(edged[i : i + 4]) % RUNS for i in range(len(edged) - 3)} if len(word) <= 32 else ()
+    known = array("H", (crc32(word) % WORDS, *sorted(runs))).tobytes()
+    if len(_hashed) >= CACHE:
+        _hashed.clear()
+    if len(word) <= 64:
+        _hashed[word] = known
     return known
 
 
@@ -69,10 +69,10 @@ def term_counts(raw: bytes) -> np.ndarray:
         out[: N * N] += np.bincount(c[:-1] * N + c[1:], minlength=N * N)
     words = raw.split()
     if words:
-        distinct = set(raw.lower().split())
+        get, distinct = _hashed.get, set(raw.lower().split())
         out[N * N : SHAPES] = sum(map(eq, words, words[1:])), len(words) - len(set(words)), len(words), 0
-        at = np.fromiter((k for w in distinct for k in hashed(w)), np.int64)
-        out[SHAPES:] = np.bincount(at - SHAPES, minlength=WORDS + RUNS)
+        at = np.frombuffer(b"".join([get(w) or hashed(w) for w in distinct]), np.uint16)
+        out[SHAPES:] = np.bincount(at, minlength=WORDS + RUNS)
     else:
         out[SHAPES - 1] = 1
     return out
