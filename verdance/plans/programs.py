@@ -6,11 +6,6 @@ on a 100-wide grid for pixels, orders for the parcel table and its sheets.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +20,7 @@ from verdance.operators import zonal as Z
 from verdance.plans import pipeline, products
 from verdance.plans.registry import _CELLS, _UNIT, GRID, _grid, _horner, _round, _shape, query
 from verdance.sources import geotiff, sinks, tables
+from verdance.sources.store import place
 
 DAY = "DATE '1997-01-01'"
 
@@ -33,22 +29,6 @@ def _day():
     return F.lit("1997-01-01").cast("date")
 
 
-def _place(spark: SparkSession) -> str:
-    """A new folder that driver and executors share."""
-    conf = spark.sparkContext.getConf()
-    base = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
-    if not base:
-        if not (spark.sparkContext.master or "").startswith("local"):
-            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-        else:
-            base = tempfile.mkdtemp(prefix="verdance-files-")
-            atexit.register(shutil.rmtree, base, ignore_errors=True)
-    path = f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
-
-
 def _case(v: str, ranges: list[tuple[float, float, int]]) -> str:
     return "CASE " + " ".join(f"WHEN {v} >= {lo!r} AND {v} < {hi!r} THEN {k}" for lo, hi, k in reversed(ranges)) + " END"
 
@@ -144,7 +124,7 @@ def potential_class_raster(read):
 def daily_run(read):
     """Dates by products; a failing product leaves the others alone."""
     spark = read("supplier").sparkSession
-    path = _place(spark)
+    path = place(spark)
 
     def make(date: str, product: str) -> DataFrame:
         if product == "WEED":
@@ -313,7 +293,7 @@ def file_validity(read):
 def sheet_scan(read):
     """CSV and JSON sheets with odd headers, written and read again."""
     spark = read("nation").sparkSession
-    path = _place(spark)
+    path = place(spark)
     read("nation").select(F.col("n_nationkey").cast("string").alias(" ID_Parcela"), F.col("n_name").alias("VARIEDAD "), F.col("n_regionkey").cast("string").alias("Ciclo")).write.csv(f"{path}/a.csv", header=True)
     read("region").select(F.col("r_regionkey").cast("string").alias("Id_Parcela"), F.col("r_name").alias("variedad")).write.json(f"{path}/b.json")
     got = tables.read_sheets(spark, {2026: f"{path}/a.csv", 2027: f"{path}/b.json"})
@@ -328,7 +308,7 @@ def _geojson(k) -> object:
 def parcel_scan(read):
     """Active parcels of a mill from Parquet, both predicates in the scan; those without a polygon go."""
     spark, k = read("supplier").sparkSession, F.col("s_suppkey")
-    path = _place(spark) + ".parquet"
+    path = place(spark) + ".parquet"
     shape = F.when(k % 5 == 0, '{"type":"Point","coordinates":[0,0]}').otherwise(_geojson(k))
     read("supplier").select(k.cast("string").alias("id_parcela"), F.concat(F.lit("Mill "), (k % 4).cast("string")).alias("ingenio"), (k % 3 == 0).alias("temporada_activa"), F.lit("2026").alias("zafra"), F.lit(None).cast("date").alias("fecha_inicio"), shape.alias("geometry_polygon"), F.lit("x").alias("unused")).write.parquet(path)
     out = tables.read_parcels(spark, path, "Mill 1")
@@ -338,7 +318,7 @@ def parcel_scan(read):
 @query("SELECT n_name AS name, CAST(n_regionkey AS VARCHAR) AS region, CAST(6.0 AS DOUBLE) AS area, '2026' AS zafra FROM nation")
 def geojson_scan(read):
     spark = read("nation").sparkSession
-    path = _place(spark)
+    path = place(spark)
     feature = F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("region"))), F.lit(',"geometry":'), _geojson(F.col("n_nationkey")), F.lit("}"))
     whole = read("nation").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(feature)), F.lit("]}")).alias("value"))
     whole.coalesce(1).write.text(path)
@@ -348,22 +328,10 @@ def geojson_scan(read):
 def _written_rasters(read) -> tuple[SparkSession, str]:
     """A GeoTIFF for each type of event: 20 columns, rows by its number within the type."""
     spark = read("events").sparkSession
-    path = _place(spark)
+    path = place(spark)
     pixels = read("events").select(F.col("event_type").alias("raster_id"), F.floor(F.col("event_id") / 20).cast("int").alias("row"), (F.col("event_id") % 20).cast("int").alias("col"), F.when(F.col("event_id") % 7 != 0, (F.col("event_id") % 97).cast("double")).alias("v"))
     files = geotiff.encode_pixels(pixels, (10.0, 0.0, 500_000.0, 0.0, -10.0, 1_600_000.0), 32615, ["v"])
-    files.write.parquet(path)
-
-    def place(batches):
-        import os
-
-        for pdf in batches:
-            for name, content in zip(pdf["raster_id"], pdf["content"]):
-                os.makedirs(path.removeprefix("file://") + "-tif", exist_ok=True)
-                with open(f"{path.removeprefix('file://')}-tif/{name}.tif", "wb") as f:
-                    f.write(content)
-            yield pdf[["raster_id"]]
-
-    spark.read.parquet(path).mapInPandas(place, "raster_id string").count()
+    geotiff.write_files(files, f"{path}-tif")
     return spark, f"{path}-tif/*.tif"
 
 
@@ -389,7 +357,7 @@ def geotiff_metadata(read):
 def curve_scan(read):
     """A curve that is there, and one that is not: then the polynomials hold."""
     spark = read("part").sparkSession
-    path = _place(spark) + ".parquet"
+    path = place(spark) + ".parquet"
     read("part").groupBy(F.col("p_size").alias("edad_dias")).agg(F.count("*").alias("n")).write.parquet(path)
     gone = tables.read_curve(spark, path + ".gone")
     other = spark.createDataFrame([(None, None, "polynomials" if gone is None else "curve")], "edad_dias int, n long, source string")
@@ -400,7 +368,7 @@ def curve_scan(read):
 def product_write(read):
     """Products by partition; a date that is run again replaces itself and no other."""
     spark, k = read("supplier").sparkSession, F.col("s_suppkey")
-    path = _place(spark)
+    path = place(spark)
     rows = read("supplier").select("s_suppkey", F.date_add(_day(), (k % 3).cast("int")).alias("fecha_img"), F.lit("m").alias("ingenio"))
     for name, part in (("NDVI", rows.where("s_suppkey % 2 = 0")), ("WEED", rows.where("s_suppkey % 2 <> 0"))):
         sinks.write_product(part.withColumn("version", F.lit(1)), path, name)
@@ -412,18 +380,37 @@ def product_write(read):
 def product_scan(read):
     """Product files of different columns with the table that their names give."""
     spark = read("orders").sparkSession
-    path = _place(spark)
+    path = place(spark)
     read("orders").where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_totalprice").alias("price")).write.parquet(f"{path}/GT_NDVI_A.parquet")
     read("orders").where("o_orderkey % 2 <> 0").select("o_orderkey").write.parquet(f"{path}/GT_WEED_A.parquet")
     out = tables.read_products(spark, f"{path}/*.parquet")
-    return out.select("o_orderkey", F.when(F.input_file_name().contains("NDVI"), "data_ndvi").otherwise("data_maleza").alias("table_name"), "price")
+    return out.select("o_orderkey", "table_name", "price")
+
+
+@query("""WITH f AS (SELECT o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN 'data_ndvi' WHEN 1 THEN 'data_sg' END AS t, DATE '1997-01-01' + CAST(o_custkey % 2 AS INT) AS d FROM orders WHERE o_orderkey % 3 < 2)
+SELECT t AS table_name, k AS id_parcela, d AS fecha_img, CASE WHEN t = 'data_ndvi' AND d = DATE '1997-01-01' THEN 2 ELSE 1 END AS version FROM f WHERE k % 7 <> 0""")
+def push_files(read):
+    """Product files into published tables, by date and mill in place of what is there; rows with nulls go, a broken file leaves the others alone."""
+    spark, k = read("orders").sparkSession, F.col("o_orderkey")
+    path = place(spark)
+    rows = read("orders").select(F.when(k % 7 != 0, k).alias("id_parcela"), F.date_add(_day(), (F.col("o_custkey") % 2).cast("int")).alias("fecha_img"), F.lit("m").alias("ingenio"), (k % 3).alias("kind"))
+    one = lambda kind, version: rows.where(F.col("kind") == kind).drop("kind").withColumn("version", F.lit(version))
+    files = {"GT_NDVI_A.parquet": lambda: one(0, 1), "GT_SMART_GROWTH_A.parquet": lambda: one(1, 1), "GT_WEED_A.parquet": lambda: spark.read.parquet(path + "/gone"), "notes.txt": lambda: one(2, 1), "GT_NDVI_B.parquet": lambda: one(0, 2).where("fecha_img = DATE '1997-01-01'")}
+    done = sinks.push(files, lambda df, table: sinks.replace_published(df, f"{path}/{table}"))
+    if [r["file_name"] for r in done if r["error"]] != ["GT_WEED_A.parquet"]:
+        raise RuntimeError(str(done))
+    out = None
+    for table in ("data_ndvi", "data_sg"):
+        part = spark.read.parquet(f"{path}/{table}").select(F.lit(table).alias("table_name"), "id_parcela", F.col("fecha_img").cast("date").alias("fecha_img"), "version")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("""SELECT DATE '2024-01-01' + CAST(o_orderkey % 300 AS INT) AS date, CASE WHEN o_orderkey % 2 = 0 THEN lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0') || 'PYS' END AS tile_id, CAST(o_orderkey AS VARCHAR) AS product_id, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice END AS cloud_cover FROM orders""")
 def catalogue_scan(read):
     """Saved catalogue answers: dates from the name, else from the acquisition's start; the first cloud cover."""
     spark, k = read("orders").sparkSession, F.col("o_orderkey")
-    path = _place(spark)
+    path = place(spark)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (k % 300).cast("int"))
     name = F.when(k % 2 == 0, F.concat(F.lit("S2A_MSIL2A_"), F.date_format(day, "yyyyMMdd"), F.lit("T161829_N0509_T"), F.lpad((k % 60).cast("string"), 2, "0"), F.lit("PYS_x.SAFE"))).otherwise("S1A_x")
     attribute = F.struct(F.when(k % 3 == 0, "cloudCover").otherwise("size").alias("Name"), F.col("o_totalprice").cast("string").alias("Value"))
@@ -440,10 +427,12 @@ def catalogue_scan(read):
 def folder_scan(read):
     """Rasters in pair folders: role and date of the folder, kind of the file; contents aren't read."""
     spark = read("region").sparkSession
-    path = _place(spark)
+    path = place(spark)
     for name in ("prev01_2024-01-05/s2_x.tif", "prev01_2024-01-05/s1_x.tif", "inference_20240201/s2.tif", "other/a.tif", "other/b.txt"):
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at).close()
+        out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
+        out.write(42)
+        out.close()
     return tables.read_folder(spark, path).select("role", "scene_date", "kind")
 
 
@@ -453,7 +442,7 @@ def history_rewrite(read):
     from verdance.streaming import history_sink
 
     e = read("events").select("user_id", F.to_date("ts").alias("fecha_deteccion"), "event_id")
-    path = _place(e.sparkSession)
+    path = place(e.sparkSession)
     merge = history_sink(path, [], 5)
     last = e.agg(F.max("fecha_deteccion").alias("d")).first()["d"]
     if last is None:
@@ -468,7 +457,7 @@ def history_rewrite(read):
 def audit_log(read):
     """A log written as CSV if there is anything to write."""
     spark = read("orders").sparkSession
-    path = _place(spark)
+    path = place(spark)
     rows = read("orders").select(F.col("o_orderkey").cast("string").alias("k"), F.col("o_orderstatus").alias("action"))
     if sinks.write_log(rows.where("action = 'none'"), path + "-none") or not sinks.write_log(rows.where("action = 'P'"), path):
         raise RuntimeError("a log without rows was written, or one with rows was not")

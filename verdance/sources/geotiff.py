@@ -201,3 +201,20 @@ def encode_pixels(pixels: DataFrame, grid: tuple, crs: int | None, names: list[s
         return pd.DataFrame({by: [key[0]], "content": [encode(Raster(data, grid, crs, nodata))]})
 
     return pixels.select(by, "row", "col", *names).groupBy(by).applyInPandas(run, f"{by} string, content binary")
+
+
+def write_files(files: DataFrame, folder: str, name: str = "raster_id") -> int:
+    """Write (name, content) as <folder>/<name>.tif, each by the task that holds it, wherever pyarrow can write; returns how many."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store.create_dir(root, recursive=True)
+        for pdf in batches:
+            for n, content in zip(pdf[name], pdf["content"]):
+                with store.open_output_stream(f"{root}/{n}.tif") as f:
+                    f.write(content)
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return files.select(name, "content").mapInPandas(run, "n long").agg({"n": "sum"}).first()[0] or 0

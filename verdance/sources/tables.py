@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,12 +38,30 @@ def read_sheets(spark: SparkSession, paths: dict[int, str]) -> dict[int, DataFra
     return out
 
 
-def read_parcels(spark: SparkSession, path: str | None, mill: str, jdbc: dict[str, str] | None = None) -> DataFrame:
-    """Active parcels of a mill: the columns that products need, with both predicates left to the scan; `parts` from the geometry. Parcels without a polygon go."""
+def read_parcels(spark: SparkSession, path: str | None, mill: str, jdbc: dict[str, str] | None = None, strict: bool = False) -> DataFrame:
+    """Active parcels of a mill: the columns that products need, with both predicates left to the scan; `parts` from the geometry. Parcels without a polygon go.
+
+    strict: no parcel is an error, and ids that repeat are warned of.
+    """
     df = spark.read.format("jdbc").options(**jdbc).load() if jdbc else read_any(spark, path)
     df = df.select([c for c in PARCEL_COLUMNS + ["temporada_activa"] if c in df.columns])
     df = df.where((F.col("ingenio") == mill) & F.col("temporada_activa"))
-    return df.drop("temporada_activa").withColumn("parts", G.parse_geojson(F.col("geometry_polygon"))).where("parts is not null")
+    out = df.drop("temporada_activa").withColumn("parts", G.parse_geojson(F.col("geometry_polygon"))).where("parts is not null")
+    if strict:
+        # one row
+        n, ids = out.agg(F.count("*"), F.count_distinct("id_parcela")).first()
+        if not n:
+            raise LookupError(f"no active parcel of {mill}")
+        if ids < n:
+            warnings.warn(f"{n - ids} rows repeat a parcel of {mill}", stacklevel=2)
+    return out
+
+
+def read_area(spark: SparkSession, path: str, margin: float = 0.001) -> DataFrame:
+    """One row: the area of interest (parts) of a GeoJSON file, and its box with a margin (west, south, east, north)."""
+    parts = read_geojson(spark, path).agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    box = G.add_margin(G.bounds(F.col("parts")), margin)
+    return parts.select("parts", *[c.alias(k) for k, c in box.items()])
 
 
 def read_geojson(spark: SparkSession, path: str, season: str | None = None) -> DataFrame:
@@ -68,7 +88,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_products(spark: SparkSession, path: str) -> DataFrame:
     """Product files with their name and the table that it names."""
     df = spark.read.option("mergeSchema", "true").parquet(path)
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    # a product that was written in parts is a folder
+    parts = F.split(F.input_file_name(), "/")
+    name = F.when(F.element_at(parts, -1).startswith("part-"), F.element_at(parts, -2)).otherwise(F.element_at(parts, -1))
     return df.withColumn("file_name", name).withColumn("table_name", S.published_table(F.col("file_name")))
 
 
