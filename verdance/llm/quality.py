@@ -126,13 +126,13 @@ def _weighed(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     return x
 
 
-def leading(d: np.ndarray, dims: int, seed: int = 5) -> np.ndarray:
-    """The leading right singular vectors, as columns, by power steps on a random subspace."""
-    k = min(dims + 16, *d.shape)
-    q = np.random.default_rng(seed).standard_normal((d.shape[1], k)).astype(np.float32)
+def leading(blocks: Callable[[], Iterator[np.ndarray]], terms: int, rows: int, dims: int, seed: int = 5) -> np.ndarray:
+    """The leading right singular vectors, as columns, by power steps on a random subspace; blocks gives the rows again and again."""
+    k = min(dims + 16, rows, terms)
+    q = np.random.default_rng(seed).standard_normal((terms, k)).astype(np.float32)
     for _ in range(4):
-        q = np.linalg.qr(d.T @ (d @ q))[0]
-    _, _, v = np.linalg.svd(d @ q, full_matrices=False)
+        q = np.linalg.qr(sum(d.T @ (d @ q) for d in blocks()))[0]
+    _, _, v = np.linalg.svd(np.concatenate([d @ q for d in blocks()]), full_matrices=False)
     return (q @ v.T)[:, : min(dims, k)].astype(np.float32)
 
 
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0, rows:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             counts = [term_counts(t) for t in pdf["raw"]]
-            at = [np.flatnonzero(c).astype("<i4") for c in counts]
+            at = [np.flatnonzero(c).astype("<u2") for c in counts]
             yield pd.DataFrame({"y": pdf["y"], "at": [a.tobytes() for a in at], "n": [c[a].tobytes() for c, a in zip(counts, at)]})
 
     sample = materialize(labelled_sample(docs, labels, "quality", fold, held, rows).select("doc_id", text_bytes().alias("raw"), "y"), "quality-sample")
@@ -151,16 +151,23 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0, rows:
     if got.empty:
         return None
     got = got.sort_values(["y", "at", "n"], ignore_index=True)
-    x, y = np.zeros((len(got), TERMS), np.float32), got["y"].to_numpy()
-    for row, at, n in zip(x, got["at"], got["n"]):
-        row[np.frombuffer(at, "<i4")] = np.frombuffer(n, np.float32)
+    y, rows = got["y"].to_numpy(), list(zip(got["at"], got["n"]))
     del got
+
+    def counts() -> Iterator[np.ndarray]:
+        """The sample's counts, a block of documents at a time."""
+        for a in range(0, len(rows), BLOCK):
+            x = np.zeros((len(rows[a : a + BLOCK]), TERMS), np.float32)
+            for row, (at, n) in zip(x, rows[a : a + BLOCK]):
+                row[np.frombuffer(at, "<u2")] = np.frombuffer(n, np.float32)
+            yield x
+
     share = labels.where(F.col("quality").isin(0, 1) & (fold_of(F.col("doc_id"), fold) != held)).agg(F.avg("quality")).first()[0]
     seen = max(float(y.mean()), 1e-9), max(1 - float(y.mean()), 1e-9)
-    rarity = (1 + np.log(len(x) / (1 + (x > 0).sum(axis=0)))).clip(min=0.5).astype(np.float32)
-    basis = leading(_weighed(x, rarity), dims)
+    rarity = (1 + np.log(len(rows) / (1 + sum((x > 0).sum(axis=0) for x in counts())))).clip(min=0.5).astype(np.float32)
+    basis = leading(lambda: (_weighed(x, rarity) for x in counts()), TERMS, len(rows), dims)
     model = QualityModel(rarity, basis, np.empty((0, 0)), y.astype(np.int8), ((1 - share) / seen[1], share / seen[0]))
-    model.vectors = np.concatenate([model.project(x[a : a + BLOCK]) for a in range(0, len(x), BLOCK)])
+    model.vectors = np.concatenate([model.project(x) for x in counts()])
     return model
 
 
