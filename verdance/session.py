@@ -15,6 +15,8 @@ CONF = {
     "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC", "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+#: Rows that Python gets at once: the setting, Spark's default, and this library's.
+BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000")
 _shipped: set[str] = set()
 
 
@@ -27,7 +29,9 @@ def build(name: str = "verdance", **conf: str) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, once for each application, as spark-submit --py-files would."""
+    """Give the executors this package's code, once for each application, as spark-submit --py-files would; and keep what goes to Python at once small, unless the session says otherwise."""
+    if spark.conf.get(BATCH[0], BATCH[1]) == BATCH[1]:
+        spark.conf.set(BATCH[0], BATCH[2])
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
