@@ -31,9 +31,6 @@ def test_stage_effects(spark, labelled, tmp_path):
     truth = {r.doc_id: r for r in labelled[1].where("doc_id is not null and toxic is not null").collect()}
     clean = {r.doc_id for r in corpus_pipeline.toxic_stage(spark, docs, d).collect()}
     good = {r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, d).collect()}
-    for i in range(600):
-        if i == 5:
-            continue
     wrong = sum((i in clean) == bool(truth[i].toxic) for i in range(600) if i in truth)
     poor = sum((i in good) != bool(truth[i].quality) for i in range(600) if i in truth)
     assert wrong <= 12 and poor <= 12

@@ -231,6 +231,26 @@ def utm_forward(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:
     return 500_000 + 0.9996 * big * e, (0.0 if epsg // 100 == 326 else 10_000_000.0) + 0.9996 * big * m
 
 
+def utm_inverse(easting: Column, northing: Column, epsg: int) -> tuple[Column, Column]:
+    """Longitude and latitude on WGS84 of a place in a UTM zone, by the same series turned round."""
+    a, f = 6378137.0, 1 / 298.257223563
+    n = f / (2 - f)
+    big = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    xi0 = (northing - (0.0 if epsg // 100 == 326 else 10_000_000.0)) / (0.9996 * big)
+    eta0 = (easting - 500_000) / (0.9996 * big)
+    xi, eta = xi0, eta0
+    for j, k in enumerate(beta, 1):
+        xi = xi - k * F.sin(2 * j * xi0) * F.cosh(2 * j * eta0)
+        eta = eta - k * F.cos(2 * j * xi0) * F.sinh(2 * j * eta0)
+    chi = F.asin(F.sin(xi) / F.cosh(eta))
+    phi = chi
+    for j, k in enumerate(delta, 1):
+        phi = phi + k * F.sin(2 * j * chi)
+    return F.lit(float(epsg % 100 * 6 - 183)) + F.degrees(F.atan2(F.sinh(eta), F.cos(xi))), F.degrees(phi)
+
+
 def project(parts: Column, epsg: int) -> Column:
     """A shape in degrees as one in metres."""
     def point(p: Column) -> Column:

@@ -66,5 +66,5 @@ def audit(df: DataFrame, product: str) -> DataFrame:
 
 
 def missing_starts(parcels: DataFrame) -> DataFrame:
-    """One row: how many parcels lack a start date, and which."""
-    return parcels.where("fecha_inicio is null").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("id_parcela")).alias("ids"))
+    """The ids of the parcels that lack a start date, for the log: a row each."""
+    return parcels.where("fecha_inicio is null").select("id_parcela")

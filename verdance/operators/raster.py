@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,9 +103,9 @@ def nearest_fill(cells: DataFrame, value: str = "value", radius: int = 50, keys:
     """Cells with nulls filled from the nearest valid cell within `radius` (Euclidean); ties to the smaller row, then column.
 
     Cells fall into blocks of the radius; a null cell meets the valid cells of the nine
-    blocks around it through an equi-join, and one aggregation keeps the nearest. A radius
-    over 5 is looked through only for cells with nothing valid within 5: what is nearest
-    there is nearest of all.
+    blocks around it through an equi-join, and one aggregation keeps the nearest. Reaches
+    grow: 5, 15, then the radius, each only for cells with nothing valid in the one
+    before, as what is nearest there is nearest of all.
     """
     keys = keys or []
     step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
@@ -122,35 +120,39 @@ def nearest_fill(cells: DataFrame, value: str = "value", radius: int = 50, keys:
         return want.join(have, [*keys, "__r", "__c"]).where(d2 <= reach * reach).groupBy(*keys, "row", "col").agg(F.min_by("__v", F.struct(d2, "r2", "c2")).alias("__fill"))
 
     best = nearest(empty, min(radius, 5))
-    if radius > 5:
-        best = best.unionByName(nearest(empty.join(best, [*keys, "row", "col"], "left_anti"), radius))
+    for reach in [r for r in (15, radius) if 5 < r <= radius]:
+        best = best.unionByName(nearest(empty.join(best, [*keys, "row", "col"], "left_anti"), reach))
     return cells.join(best, [*keys, "row", "col"], "left").withColumn(value, F.coalesce(value, "__fill")).drop("__fill")
 
 
-def focal(cells: DataFrame, radius: int, value: str = "value", keys: list[str] | None = None) -> DataFrame:
-    """mean and variance over the square of `radius`, borders mirrored with the edge cell repeated.
+def focal_sums(cells: DataFrame, columns: dict[str, Column], radii: list[int], keys: list[str] | None = None) -> DataFrame:
+    """keys, row, col and, for each column and radius, its sum over the square around (<name>__<radius>); borders mirrored with the edge cell repeated.
 
-    Each cell of a dense grid is sent to the cells whose square it is in, mirrored
-    copies included: (2 radius + 1) squared rows for each, summed before they move.
+    Sums go along the rows, then along the columns: two sliding windows for all columns
+    and radii together. A window's partition is one row or column of one raster.
     """
-    keys = keys or []
+    keys, most = keys or [], max(radii)
     size = cells.groupBy(*keys).agg(F.max("row").alias("__h"), F.max("col").alias("__w"))
-    spread = cells.select(*keys, "row", "col", F.col(value).alias("__v"))
+    out = cells.select(*keys, "row", "col", *[c.alias(f"{n}__{r}") for n, c in columns.items() for r in radii])
     # one row for each raster; a single raster is one row
-    spread = spread.join(size, keys) if keys else spread.crossJoin(F.broadcast(size))
+    out = out.join(size, keys) if keys else out.crossJoin(F.broadcast(size))
+    for along, across, top in (("col", "row", "__w"), ("row", "col", "__h")):
+        # where a cell stands along the axis: itself, and before and after the border
+        both = F.filter(F.array(F.col(along), -1 - F.col(along), 2 * F.col(top) + 1 - F.col(along)), lambda p: (p >= -most) & (p <= F.col(top) + most))
+        out = out.withColumn(along, F.explode(both))
+        w = Window.partitionBy(*keys, across).orderBy(along)
+        sums = {f"{n}__{r}": F.sum(f"{n}__{r}").over(w.rangeBetween(-r, r)) for n in columns for r in radii}
+        out = out.withColumns(sums).where(F.col(along).between(0, F.col(top)))
+    return out.drop("__h", "__w")
 
-    def mirrored(c: str, top: str) -> Column:
-        """Where the cell stands along an axis: itself, and before and after the border."""
-        both = F.array(F.col(c), -1 - F.col(c), 2 * F.col(top) + 1 - F.col(c))
-        return F.filter(both, lambda p: (p >= -radius) & (p <= F.col(top) + radius))
 
-    spread = spread.select(*keys, "__v", "__h", "__w", F.explode(mirrored("row", "__h")).alias("r"), "col").select(*keys, "__v", "__h", "__w", "r", F.explode(mirrored("col", "__w")).alias("c"))
-    around = lambda c, top: F.explode(F.sequence(F.greatest(F.col(c) - radius, F.lit(0)), F.least(F.col(c) + radius, F.col(top))))
-    near = lambda c, top: (F.col(c) - radius <= F.col(top)) & (F.col(c) + radius >= 0)
-    spread = spread.where(near("r", "__h") & near("c", "__w")).withColumn("row", around("r", "__h")).withColumn("col", around("c", "__w"))
-    n = float((2 * radius + 1) ** 2)
-    out = spread.groupBy(*keys, "row", "col").agg((F.sum("__v") / n).alias("mean"), (F.sum(F.col("__v") * F.col("__v")) / n).alias("__m2"))
-    return out.select(*keys, "row", "col", "mean", F.greatest(F.lit(0.0), F.col("__m2") - F.col("mean") * F.col("mean")).alias("variance"))
+def focal(cells: DataFrame, radius: int, value: str = "value", keys: list[str] | None = None) -> DataFrame:
+    """mean and variance of a dense grid over the square of `radius`, borders mirrored."""
+    keys, n = keys or [], float((2 * radius + 1) ** 2)
+    v = F.col(value).cast("double")
+    out = focal_sums(cells, {"a": v, "b": v * v}, [radius], keys)
+    mean = F.col(f"a__{radius}") / n
+    return out.select(*keys, "row", "col", mean.alias("mean"), F.greatest(F.lit(0.0), F.col(f"b__{radius}") / n - mean * mean).alias("variance"))
 
 
 def radar_features(radar: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -163,11 +165,13 @@ def radar_features(radar: DataFrame, keys: list[str] | None = None) -> DataFrame
         "vv_vh": F.col("vv") / floor(F.col("vh")), "vh_vv": F.col("vh") / floor(F.col("vv")), "product": F.col("vv") * F.col("vh"),
         "log_vv": F.log10(floor(F.col("vv"))), "log_vh": F.log10(floor(F.col("vh"))),
         "contrast": (F.col("vv") - F.col("vh")) / F.greatest(F.abs("vv") + F.abs("vh"), F.lit(1e-10))})
+    sums = focal_sums(base, {"vv": F.col("vv"), "vh": F.col("vh"), "vv2": F.col("vv") * F.col("vv"), "vh2": F.col("vh") * F.col("vh")}, [1, 2, 3], keys)
+    around = []
     for band in ("vv", "vh"):
-        for r, name in ((1, "mean3"), (3, "mean7"), (2, "sd5")):
-            f = focal(base, r, band, keys)
-            f = f.select(*keys, "row", "col", (F.sqrt("variance") if name == "sd5" else F.col("mean")).alias(f"{band}_{name}"))
-            out = out.join(f, [*keys, "row", "col"], "left")
+        around += [(F.col(f"{band}__{r}") / float((2 * r + 1) ** 2)).alias(f"{band}_mean{2 * r + 1}") for r in (1, 3)]
+        mean = F.col(f"{band}__2") / 25.0
+        around.append(F.sqrt(F.greatest(F.lit(0.0), F.col(f"{band}2__2") / 25.0 - mean * mean)).alias(f"{band}_sd5"))
+    out = out.join(sums.select(*keys, "row", "col", *around), [*keys, "row", "col"], "left")
     features = ["vv", "vh", "vv_vh", "vh_vv", "product", "log_vv", "log_vh", "vv_mean3", "vh_mean3", "vv_mean7", "vh_mean7", "vv_sd5", "vh_sd5", "contrast"]
     return out.select(*keys, "row", "col", "valid", *[F.coalesce(F.nanvl(F.col(c), F.lit(0.0)), F.lit(0.0)).alias(c) for c in features])
 
@@ -241,15 +245,6 @@ def valid_file(size: Column, bands: Column, expected: int) -> Column:
     return (size >= 1000) & (bands == expected)
 
 
-def classes_union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def slot(order: list[Column], by: list[str]) -> Column:
-    """Slot number from 0 in an order."""
-    return F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-
-
 def radar_or_zero(cells: DataFrame, radar: DataFrame | None, keys: list[str] | None = None) -> DataFrame:
     """cells with VV and VH; 0, which no feature takes as valid, where there is no radar."""
     keys = keys or CELL

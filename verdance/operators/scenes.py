@@ -40,13 +40,23 @@ def inference_date(days: DataFrame, first: Column, last: Column, coverage: str =
     return got.select(F.coalesce("o1", "o2", "o3").alias("date"), (F.col("o1").isNull() & F.col("o2").isNotNull()).alias("is_broken"))
 
 
-def select_scenes(days: DataFrame, radar: DataFrame, first: Column, last: Column, previous: int = PREVIOUS) -> DataFrame:
-    """role, slot, date, s1_date, s1_diff_days of the inference scene and the newest complete ones before it."""
+def select_scenes(days: DataFrame, radar: DataFrame, first: Column, last: Column, previous: int = PREVIOUS, previews: DataFrame | None = None) -> DataFrame:
+    """role, slot, date, s1_date, s1_diff_days of the inference scene and the newest complete ones before it.
+
+    previews: (date, is_complete) of coarse looks at the chosen dates; one that turns
+    out incomplete goes, and the next older complete date takes its place.
+    """
     chosen = inference_date(days, first, last)
     one = chosen.select(F.col("date").alias("__chosen"))
     older = days.join(F.broadcast(one), F.col("date") < F.col("__chosen")).where("is_complete").select("date").distinct()
     n = F.row_number().over(Window.orderBy(F.desc("date")))
-    older = older.withColumn("slot", n).where(F.col("slot") <= previous)
+    older = older.withColumn("slot", n)
+    if previews is not None:
+        bad = previews.where(~F.col("is_complete")).select("date").distinct().withColumn("__bad", F.lit(True))
+        older = older.join(bad, "date", "left").withColumn("__bad", F.coalesce("__bad", F.lit(False)) & (F.col("slot") <= previous))
+        lost = F.count_if("__bad").over(Window.partitionBy())
+        older = older.withColumn("__lost", lost).where(~F.col("__bad") & (F.col("slot") <= previous + F.col("__lost"))).select("date").withColumn("slot", n)
+    older = older.where(F.col("slot") <= previous)
     rows = chosen.where("date is not null").select("date", F.lit(0).alias("slot")).unionByName(older)
     rows = rows.withColumn("role", F.when(F.col("slot") == 0, "inference").otherwise(F.format_string("prev%02d", F.col("slot"))))
     return T.nearest_date(rows, radar, "date", "date_s1" if "date_s1" in radar.columns else "date", "s1_date", "s1_diff_days")

@@ -26,10 +26,15 @@ def nearest_date(left: DataFrame, right: DataFrame, left_date: str, right_date:
     return left.join(table, F.col(left_date) == F.col("__d"), "left").drop("__d")
 
 
-def previous_dates(scenes: DataFrame, target: Column, by: list[str], date: str = "scene_date", most: int = 5) -> DataFrame:
-    """The newest `most` dates strictly before the target, newest first in slot 1."""
-    w = Window.partitionBy(*by).orderBy(F.desc(date))
-    return scenes.where(F.col(date) < target).select(*by, date).distinct().withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= most)
+def previous_dates(scenes: DataFrame, target: Column, by: list[str], date: str = "scene_date", most: int = 5, others: bool = False) -> DataFrame:
+    """The newest `most` dates strictly before the target, newest first in slot 1; with `others`, a group without any takes its newest other dates."""
+    w = Window.partitionBy(*by)
+    rows = scenes.select(*by, date).distinct()
+    if others:
+        rows = rows.where(F.col(date) != target).withColumn("__any", F.max(F.col(date) < target).over(w)).where((F.col(date) < target) | ~F.col("__any")).drop("__any")
+    else:
+        rows = rows.where(F.col(date) < target)
+    return rows.withColumn("slot", F.row_number().over(w.orderBy(F.desc(date)))).where(F.col("slot") <= most)
 
 
 def slots(dates: DataFrame, date: str = "date", most: int = 5) -> DataFrame:

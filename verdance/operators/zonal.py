@@ -96,7 +96,11 @@ def clip(pixels: DataFrame, zones: DataFrame, grid: Grid, zone_id: str = "id_par
     return pixels.join(hit, ["row", "col"], "left_semi")
 
 
-def box_filter(zones: DataFrame, west: float, south: float, east: float, north: float) -> DataFrame:
-    """Zones whose box meets a raster's."""
+def box_filter(zones: DataFrame, west: float, south: float, east: float, north: float, exact: bool = False) -> DataFrame:
+    """Zones whose box meets a raster's; exact: that share area with it."""
     b = G.bounds(F.col("parts"))
-    return zones.where((b["west"] <= east) & (b["east"] >= west) & (b["south"] <= north) & (b["north"] >= south))
+    near = zones.where((b["west"] <= east) & (b["east"] >= west) & (b["south"] <= north) & (b["north"] >= south))
+    if not exact:
+        return near
+    area = G.cell_area(*G.flat(F.col("parts")).values(), *[F.lit(float(x)) for x in (west, south, east, north)])
+    return near.withColumn("__share", area).where("__share > 0").drop("__share")

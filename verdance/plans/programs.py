@@ -16,6 +16,7 @@ from verdance.operators import cloud
 from verdance.operators import raster as R
 from verdance.operators import scenes as N
 from verdance.operators import sync as Y
+from verdance.operators import temporal as T
 from verdance.operators import zonal as Z
 from verdance.plans import pipeline, products
 from verdance.plans.registry import _CELLS, _UNIT, GRID, _grid, _horner, _round, _shape, query
@@ -239,8 +240,63 @@ def band_names(read):
     return read("region").sparkSession.createDataFrame(rows, "bands int, described int, first string, scl int")
 
 
+@query("""WITH o AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) <> DATE '1993-01-01'), a AS (SELECT *, bool_or(d < DATE '1993-01-01') OVER (PARTITION BY o_custkey) AS has FROM o),
+n AS (SELECT o_custkey, d, row_number() OVER (PARTITION BY o_custkey ORDER BY d DESC) AS n FROM a WHERE d < DATE '1993-01-01' OR NOT has) SELECT o_custkey, d AS scene_date, CAST(n AS INT) AS slot FROM n WHERE n <= 5""")
+def previous_or_other_dates(read):
+    """Groups without an earlier date take their newest other ones."""
+    return T.previous_dates(read("orders").select("o_custkey", F.to_date("o_orderdate").alias("scene_date")), F.lit("1993-01-01").cast("date"), ["o_custkey"], others=True)
+
+
+@query(f"""WITH {_DAYS}, i AS (SELECT max(date) AS date FROM d WHERE date BETWEEN DATE '1997-03-01' AND DATE '1997-03-30' AND cov >= 40), p AS (SELECT d.date, row_number() OVER (ORDER BY d.date DESC) AS n FROM d, i WHERE d.date < i.date AND cov >= 40),
+b AS (SELECT *, n <= 5 AND day(date) % 2 = 0 AS bad FROM p), k AS (SELECT date FROM b WHERE NOT bad AND n <= 5 + (SELECT count(*) FROM b WHERE bad)), s AS (SELECT date, row_number() OVER (ORDER BY date DESC) AS slot FROM k UNION ALL SELECT date, 0 FROM i WHERE date IS NOT NULL),
+r AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS s FROM lineitem), x AS (SELECT date, slot, r.s, row_number() OVER (PARTITION BY date ORDER BY abs(date_diff('day', r.s, date)), r.s DESC) AS n FROM s CROSS JOIN r)
+SELECT date, CAST(slot AS INT) AS slot, s AS s1_date FROM x WHERE n = 1""")
+def scenes_after_preview(read):
+    """Dates that a preview finds incomplete are replaced by older ones."""
+    days = read("orders").groupBy(F.to_date("o_orderdate").alias("date")).agg((100.0 * F.count_if(F.col("o_orderstatus") == "O") / F.count("*")).alias("coverage_pct")).withColumn("is_complete", F.col("coverage_pct") >= 40)
+    previews = days.select("date", (F.day("date") % 2 == 1).alias("is_complete"))
+    return N.select_scenes(days, read("lineitem").select(F.to_date("l_shipdate").alias("date_s1")).distinct(), F.lit("1997-03-01").cast("date"), F.lit("1997-03-30").cast("date"), previews=previews).select("date", "slot", "s1_date")
+
+
 # --- rasters
 
+@query("SELECT p_partkey, round(-91.5 + p_partkey % 100 * 0.01, 9) AS lon, round(13.9 + p_partkey % 77 * 0.005, 9) AS lat FROM part".replace("-91.5", "-91.5::DOUBLE").replace("13.9", "13.9::DOUBLE").replace("0.01,", "0.01::DOUBLE,").replace("0.005", "0.005::DOUBLE"))
+def utm_inverse(read):
+    """Degrees to metres and back."""
+    k = F.col("p_partkey")
+    e, n = G.utm_forward(F.lit(-91.5) + k % 100 * 0.01, F.lit(13.9) + k % 77 * 0.005, 32615)
+    lon, lat = G.utm_inverse(F.col("e"), F.col("n"), 32615)
+    return read("part").select("p_partkey", e.alias("e"), n.alias("n")).select("p_partkey", F.round(lon, 9).alias("lon"), F.round(lat, 9).alias("lat"))
+
+
+@query(f"{_CELLS} SELECT id FROM z WHERE 14.5 < x + w AND 16.5 > x AND 1.0 < y + h AND 2.5 > y AND greatest(0, least(16.5, x + w) - greatest(14.5, x)) * greatest(0, least(2.5, y + h) - greatest(1.0, y)) - greatest(0, least(16.5, x + w / 2) - greatest(14.5, x + w / 4)) * greatest(0, least(2.5, y + h / 2) - greatest(1.0, y + h / 4)) > 1e-9")
+def zones_in_box(read):
+    """Zones that share area with a box, not only their own box."""
+    from verdance.plans.registry import _zones
+
+    return Z.box_filter(_zones(read), 14.5, 1.0, 16.5, 2.5, exact=True).select("id")
+
+
+@query("SELECT count(*) AS parts, CAST(min(n_nationkey) - 0.001 AS DOUBLE) AS west, CAST(-0.001 AS DOUBLE) AS south, CAST(max(n_nationkey) + 3.001 AS DOUBLE) AS east, CAST(2.001 AS DOUBLE) AS north FROM nation")
+def area_scan(read):
+    """An area of interest from GeoJSON, with a margin around its box."""
+    spark = read("nation").sparkSession
+    path = place(spark)
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"a":"b"},"geometry":'), _geojson(F.col("n_nationkey")), F.lit("}"))
+    read("nation").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(feature)), F.lit("]}")).alias("value")).coalesce(1).write.text(path)
+    out = tables.read_area(spark, path)
+    return out.select(F.size("parts").cast("long").alias("parts"), "west", "south", "east", "north")
+
+
+@query("SELECT 'Some Mill' AS mill, 'GT' AS region, 2 AS dates, 'NDVI' AS first, TRUE AS publish, '2024-01-01' AS start, 'a.geojson' AS area")
+def settings(read):
+    """Settings from the environment: names, lists, switches, bounds."""
+    from verdance.sources.config import Settings
+
+    s = Settings.read({"MILL": "Some_Mill", "REGION": "GT", "DATES": "2024-1-5, ,2024-01-06", "PRODUCTS": "NDVI,WEED", "PUBLISH": "Yes", "START": "2024-01-01", "AREA": "a.geojson"})
+    return read("region").sparkSession.createDataFrame([(s.mill, s.region, len(pipeline.listed(",".join(s.dates))), s.products[0], s.publish, s.start, s.area)], "mill string, region string, dates int, first string, publish boolean, start string, area string")
+
+
 @query(_CELLS + 'SELECT DISTINCT c."row", c.col, c.value FROM c JOIN m ON c."row" = m."row" AND c.col = m.col WHERE m.overlap > 1e-12')
 def clip_touched(read):
     from verdance.plans.registry import _cells, _zones

@@ -212,11 +212,18 @@ def _horner(c: list[float]) -> str:
     return out
 
 
+_REGIONS = ["GT", "NI", "MX06", "MX07", "MX02", "none"]
+
+
+def _by_region(index: str) -> str:
+    return "CASE region " + " ".join(f"WHEN '{r}' THEN {_horner(K.POTENTIAL[r, index])}" for r in _REGIONS[:-1]) + " END"
+
+
 @query(f"""
-WITH x AS (SELECT o_orderkey, CAST(o_orderkey % 451 AS DOUBLE) AS a, CASE o_orderkey % 3 WHEN 0 THEN 'GT' WHEN 1 THEN 'MX07' ELSE 'none' END AS region FROM orders)
-SELECT o_orderkey, region, round(CASE region WHEN 'GT' THEN {_horner(K.POTENTIAL['GT', 'NDRE'])} WHEN 'MX07' THEN {_horner(K.POTENTIAL['MX07', 'NDRE'])} END, 9) AS ndre, round(CASE region WHEN 'GT' THEN {_horner(K.POTENTIAL['GT', 'NDWI'])} WHEN 'MX07' THEN {_horner(K.POTENTIAL['MX07', 'NDWI'])} END, 9) AS ndwi FROM x""".replace("e-", "E-"))
+WITH x AS (SELECT o_orderkey, CAST(o_orderkey % 451 AS DOUBLE) AS a, {_REGIONS!r}[o_orderkey % 6 + 1] AS region FROM orders)
+SELECT o_orderkey, region, round({_by_region('NDRE')}, 9) AS ndre, round({_by_region('NDWI')}, 9) AS ndwi FROM x""".replace("e-", "E-"))
 def potential_poly(read):
-    region = F.when(F.col("o_orderkey") % 3 == 0, "GT").when(F.col("o_orderkey") % 3 == 1, "MX07").otherwise("none")
+    region = F.element_at(F.array(*map(F.lit, _REGIONS)), (F.col("o_orderkey") % 6 + 1).cast("int"))
     rows = read("orders").select("o_orderkey", region.alias("region"), (F.col("o_orderkey") % 451).alias("a"))
     return rows.select("o_orderkey", "region", F.round(S.potential(F.col("region"), "NDRE", F.col("a")), 9).alias("ndre"), F.round(S.potential(F.col("region"), "NDWI", F.col("a")), 9).alias("ndwi"))
 
@@ -324,10 +331,14 @@ def push_stats(read):
     return P.push_stats(read("events").select(name.alias("file_name"), F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("v")), ["v"])
 
 
-@query("""SELECT 'SMART_GROWTH' AS product, count(*) AS "rows", count(*) FILTER (event_type = 'error') AS null_ages, CAST(0 AS BIGINT) AS null_means, min(value) FILTER (value > 0) AS sg_low, max(value) FILTER (value > 0) AS sg_high, count(*) FILTER (event_type = 'view') AS critical, round(100.0 * count(*) FILTER (event_type = 'error') / count(*), 6) AS null_age_pct FROM events""")
+@query("""SELECT 'SMART_GROWTH' AS product, count(*) AS "rows", count(*) FILTER (event_type = 'error') AS null_ages, CAST(0 AS BIGINT) AS null_means, min(value) FILTER (value > 0) AS sg_low, max(value) FILTER (value > 0) AS sg_high, count(*) FILTER (event_type = 'view') AS critical, round(100.0 * count(*) FILTER (event_type = 'error') / count(*), 6) AS null_age_pct, '' AS missing FROM events
+UNION ALL SELECT 'NDVI', count(*), count(*), count(*) FILTER (event_type = 'click'), NULL, NULL, 0, 100.0, 'ndvi_2' FROM events""")
 def audit(read):
+    """Growth scores with all columns, and indices without ages and a class."""
     rows = read("events").select(F.when(F.col("event_type") != "error", F.col("user_id")).alias("edad"), F.col("value").alias("sg_mean"), F.when(F.col("event_type") == "view", "Critica").alias("status_maleza"))
-    return _round(P.audit(rows, "SMART_GROWTH"), 6, "null_age_pct").drop("missing_columns")
+    other = read("events").select(F.when(F.col("event_type") != "click", F.col("value")).alias("ndvi_mean"), F.lit(0.0).alias("ndvi_1"))
+    out = P.audit(rows, "SMART_GROWTH").unionByName(P.audit(other, "NDVI"))
+    return _round(out, 6, "null_age_pct").withColumn("missing", F.array_join("missing_columns", ",")).drop("missing_columns")
 
 
 @query("""
@@ -698,12 +709,14 @@ def days_between(read):
     return read("orders").select("o_orderkey", S.days_between(F.to_date("o_orderdate"), F.lit("1996-01-01").cast("date")).alias("days"))
 
 
-@query("SELECT r.l_orderkey AS k, least(count(*), 3) AS n FROM lineitem r WHERE r.l_quantity IS NOT NULL GROUP BY 1")
+@query("SELECT l_orderkey AS k, l_linenumber AS n FROM lineitem WHERE l_tax <> 0 AND l_linenumber <> 2 AND l_returnflag <> 'R'")
 def complete_rows(read):
-    return P.complete_rows(read("lineitem").select("l_orderkey", "l_quantity")).groupBy(F.col("l_orderkey").alias("k")).agg(F.least(F.count("*"), F.lit(3)).alias("n"))
+    """Without rows that hold a null or NaN anywhere."""
+    rows = read("lineitem").select(F.col("l_orderkey").alias("k"), F.when(F.col("l_linenumber") != 2, F.col("l_linenumber")).alias("n"), F.when(F.col("l_tax") == 0, float("nan")).otherwise(F.col("l_tax")).alias("t"), F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("f"))
+    return P.complete_rows(rows).select("k", "n")
 
 
-@query("SELECT count(*) FILTER (o_orderstatus = 'P') AS n, count(DISTINCT CASE WHEN o_orderstatus = 'P' THEN o_orderkey END) AS ids FROM orders")
+@query("SELECT o_orderkey AS id_parcela FROM orders WHERE o_orderstatus = 'P'")
 def missing_starts(read):
     rows = read("orders").select(F.col("o_orderkey").alias("id_parcela"), F.when(F.col("o_orderstatus") != "P", F.to_date("o_orderdate")).alias("fecha_inicio"))
-    return P.missing_starts(rows).select("n", F.size("ids").cast("long").alias("ids"))
+    return P.missing_starts(rows)

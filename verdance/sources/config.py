@@ -16,16 +16,19 @@ class Settings:
     country: str = ""
     company: str = ""
     publish: bool = False
+    start: str = ""
+    end: str = ""
+    area: str = ""
 
     @classmethod
     def read(cls, env: Mapping[str, str] | None = None) -> Settings:
-        """MILL and REGION are required; lists are comma lists; a switch is on for true, 1 or yes."""
+        """MILL and REGION are required; lists are comma lists; a switch is on for true, 1 or yes; START, END and AREA bound the days and name the area's file."""
         e = os.environ if env is None else env
         lacking = [k for k in ("MILL", "REGION") if not e.get(k)]
         if lacking:
             raise ValueError(f"missing settings: {', '.join(lacking)}")
         many = lambda k: [x.strip() for x in e.get(k, "").split(",") if x.strip()]
-        return cls(e["MILL"].replace("_", " "), e["REGION"], many("DATES"), many("PRODUCTS"), e.get("COUNTRY", ""), e.get("COMPANY", ""), e.get("PUBLISH", "").lower() in ("true", "1", "yes"))
+        return cls(e["MILL"].replace("_", " "), e["REGION"], many("DATES"), many("PRODUCTS"), e.get("COUNTRY", ""), e.get("COMPANY", ""), e.get("PUBLISH", "").lower() in ("true", "1", "yes"), e.get("START", ""), e.get("END", ""), e.get("AREA", ""))
 
     @property
     def file_key(self) -> str:
