@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdance.functions import geometry as G
+from verdance.sources.store import written
 
 Grid = tuple[float, float, float, float, float, float]
 
@@ -96,11 +97,15 @@ def clip(pixels: DataFrame, zones: DataFrame, grid: Grid, zone_id: str = "id_par
     return pixels.join(hit, ["row", "col"], "left_semi")
 
 
-def box_filter(zones: DataFrame, west: float, south: float, east: float, north: float, exact: bool = False) -> DataFrame:
-    """Zones whose box meets a raster's; exact: that share area with it."""
+def box_filter(zones: DataFrame, west: float, south: float, east: float, north: float, exact: str | None = None) -> DataFrame:
+    """Zones whose box meets a raster's; with the name of their id as `exact`, those that share area with it."""
     b = G.bounds(F.col("parts"))
     near = zones.where((b["west"] <= east) & (b["east"] >= west) & (b["south"] <= north) & (b["north"] >= south))
-    if not exact:
+    if exact is None:
         return near
-    area = G.cell_area(*G.flat(F.col("parts")).values(), *[F.lit(float(x)) for x in (west, south, east, north)])
-    return near.withColumn("__share", area).where("__share > 0").drop("__share")
+    flat = {f"__{k}": c for k, c in G.flat(F.col("parts")).items()}
+    sides = {f"__b{i}": F.lit(float(x)) for i, x in enumerate((west, south, east, north))}
+    # written, as shapes that are computed in the same plan don't reach Python below a filter
+    shapes = written(near.select(exact, *[c.alias(k) for k, c in (flat | sides).items()]))
+    hit = shapes.withColumn("__share", G.cell_area(*flat, *sides)).where("__share > 0").select(exact).distinct()
+    return near.join(hit, exact, "left_semi")

@@ -274,7 +274,7 @@ def zones_in_box(read):
     """Zones that share area with a box, not only their own box."""
     from verdance.plans.registry import _zones
 
-    return Z.box_filter(_zones(read), 14.5, 1.0, 16.5, 2.5, exact=True).select("id")
+    return Z.box_filter(_zones(read), 14.5, 1.0, 16.5, 2.5, "id").select("id")
 
 
 @query("SELECT count(*) AS parts, CAST(min(n_nationkey) - 0.001 AS DOUBLE) AS west, CAST(-0.001 AS DOUBLE) AS south, CAST(max(n_nationkey) + 3.001 AS DOUBLE) AS east, CAST(2.001 AS DOUBLE) AS north FROM nation")
