@@ -330,6 +330,46 @@ def radar_features(read):
     return _round(_round(_round(out, 6, "vv_vh", "product", "vv_mean3", "vh_mean3", "vv_mean7", "vh_mean7"), 8, "log_vh", "contrast"), 4, "vv_sd5", "vh_sd5")
 
 
+_CLOUDS = f"""WITH g AS (SELECT "row", col, event_type = 'error' AS cloud, value * 10 AS v FROM {GRID}),
+p AS (SELECT "row", col, 5.0::DOUBLE AS x, v + 1 AS v FROM g WHERE col % 7 <> 0 UNION ALL SELECT "row", col, 10.0::DOUBLE, v * 1.5 FROM g WHERE col % 5 <> 0),
+w AS (SELECT "row", col, count(*) AS n, sum(1 / x) AS sw, sum(1.0::DOUBLE) AS sx, sum(v / x) AS sy, sum(x) AS sxx, sum(v) AS sxy FROM p GROUP BY 1, 2),
+t AS (SELECT "row", col, CASE WHEN n = 1 THEN sy / sw ELSE greatest(0, (sy - greatest(-500, least(500, (sw * sxy - sx * sy) / (sw * sxx - sx * sx))) * sx) / sw) END AS t FROM w),
+f AS (SELECT g."row", g.col, cloud, CASE WHEN cloud THEN t ELSE v END AS v, CASE WHEN NOT cloud THEN 'clear' WHEN t IS NOT NULL THEN 'temporal' END AS source FROM g LEFT JOIN t ON g."row" = t."row" AND g.col = t.col),
+h AS (SELECT "row" AS r2, col AS c2, v AS v2 FROM f WHERE v IS NOT NULL),
+x AS (SELECT "row", col, v2, row_number() OVER (PARTITION BY "row", col ORDER BY ("row" - r2) * ("row" - r2) + (col - c2) * (col - c2), r2, c2) AS k FROM f JOIN h ON abs("row" - r2) <= 50 AND abs(col - c2) <= 50 AND ("row" - r2) * ("row" - r2) + (col - c2) * (col - c2) <= 2500 WHERE v IS NULL),
+o AS (SELECT f."row", f.col, cloud, coalesce(source, CASE WHEN v2 IS NOT NULL THEN 'spatial' ELSE 'none' END) AS source, coalesce(v, v2) AS v FROM f LEFT JOIN x ON f."row" = x."row" AND f.col = x.col AND k = 1)
+"""
+
+
+def _without_clouds(read) -> DataFrame:
+    g = _grid(read, {"error": 9}).withColumns({"SCL": F.coalesce("SCL", F.lit(4)), "B04": F.col("value") * 10}).select("row", "col", "SCL", "B04")
+    scene = lambda days, name, b, cloudy: g.select(F.lit(name).alias("scene_date"), F.lit(days).alias("days"), "row", "col", F.when(cloudy, 9).otherwise(4).alias("SCL"), b.alias("B04"))
+    before = scene(5, "a", F.col("B04") + 1, F.col("col") % 7 == 0).unionByName(scene(10, "b", F.col("B04") * 1.5, F.col("col") % 5 == 0))
+    return cloud.remove_clouds(g, before, None, ["B04"])
+
+
+@query(_CLOUDS + 'SELECT "row", col, source, round(v, 5) AS "B04" FROM o')
+def cloud_removal(read):
+    """Earlier scenes, then the nearest cell, for what clouds hide."""
+    return _round(_without_clouds(read).select("row", "col", "source", "B04"), 5, "B04")
+
+
+@query(_CLOUDS + """, c AS (SELECT count(*) AS total_pixels, count(*) FILTER (source = 'clear') AS clear_pixels, count(*) FILTER (cloud) AS cloud_pixels, count(*) FILTER (source = 'temporal') AS temporal_filled, count(*) FILTER (source = 'spatial') AS spatial_filled, count(*) FILTER (source = 'none') AS unfilled_pixels FROM o),
+e AS (SELECT *, 100.0::DOUBLE * cloud_pixels / total_pixels AS pct, 55.0::DOUBLE AS c1, CASE WHEN cloud_pixels = 0 THEN 100 ELSE least(100, greatest(5, (100.0 * temporal_filled + 40.0 * spatial_filled) / cloud_pixels)) END AS c4 FROM c)
+SELECT total_pixels, clear_pixels, cloud_pixels, temporal_filled, spatial_filled, unfilled_pixels, round(CAST(0.30 * c1 + 0.25 * greatest(5, 100 - 0.8 * pow(pct, 1.3)) + 0.30 * c4 + 0.15 * 100 AS DOUBLE), 6) AS confidence_overall FROM e""")
+def scene_confidence(read):
+    out = cloud.scene_confidence(_without_clouds(read), 2)
+    return _round(out, 6, "confidence_overall").select("total_pixels", "clear_pixels", "cloud_pixels", "temporal_filled", "spatial_filled", "unfilled_pixels", "confidence_overall")
+
+
+@query("""WITH b AS (SELECT event_id // 50 AS r, event_id % 50 AS c, CASE WHEN event_type = 'error' OR event_id % 50 % 7 = 0 THEN NULL ELSE value * 10 END AS v FROM events) SELECT round(greatest(0, p1 - 0.1 * (p99 - p1)), 6) AS low, round(p99 + 0.1 * (p99 - p1), 6) AS high FROM (SELECT quantile_cont(v, 0.01) AS p1, quantile_cont(v, 0.99) AS p99 FROM b)""")
+def prediction_limits(read):
+    """The range that a forest's predictions of a band are held in."""
+    band = read("events").select(F.when((F.col("event_type") != "error") & (F.col("event_id") % 50 % 7 != 0), F.col("value") * 10).alias("B04"))
+    low, high = cloud.limits(band, ["B04"])["B04"]
+    return band.sparkSession.createDataFrame([(round(low, 6), round(high, 6))], "low double, high double")
+
+
 @query("SELECT count(*) FILTER (event_id % 5 <> 0) AS cells, count(*) FILTER (event_id % 5 <> 0 AND event_id % 9 = 0) AS changed FROM events")
 def clear_unchanged(read):
     g = read("events").select(F.floor(F.col("event_id") / 100).alias("row"), (F.col("event_id") % 100).alias("col"), "event_id", F.col("value").alias("B04"))
