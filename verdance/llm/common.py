@@ -52,17 +52,14 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)
-    _written[id(out)] = (out, lambda: files.delete(place, True))
+    out.__dict__["_written"] = lambda: files.delete(place, True)
     return out
 
 
-_written: dict[int, tuple[DataFrame, Callable]] = {}
-
-
 def discard(df: DataFrame) -> None:
     """Delete a table that materialize wrote and that nothing will read again."""
-    if found := _written.pop(id(df), None):
-        found[1]()
+    if delete := df.__dict__.pop("_written", None):
+        delete()
 
 
 #: Bytes of an Arrow batch that a kernel gets at once; a longer row comes alone.
