@@ -97,9 +97,12 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
 CATALOGUE = "value array<struct<Id:string,Name:string,Footprint:string,ContentDate:struct<Start:string>,Attributes:array<struct<Name:string,Value:string>>>>"
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """date, tile_id, product_name, product_id, footprint, cloud_cover from saved catalogue answers (JSON)."""
-    return catalogue_rows(spark.read.schema(CATALOGUE).json(path, multiLine=True))
+def read_catalogue(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """date, tile_id, product_name, product_id, footprint, cloud_cover from saved catalogue answers (JSON): one a file, or with `lines` one a line.
+
+    What follows a first answer in its file, or in its line, isn't read.
+    """
+    return catalogue_rows(spark.read.schema(CATALOGUE).json(path, multiLine=not lines))
 
 
 def catalogue_rows(answers: DataFrame) -> DataFrame:
