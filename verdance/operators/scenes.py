@@ -26,27 +26,31 @@ def date_coverage(products: DataFrame, aoi: DataFrame) -> DataFrame:
     return G.coverage(near, aoi, ["date"]).join(clouds, "date").withColumn("is_complete", F.col("coverage_pct") >= COVERAGE)
 
 
-def inference_date(days: DataFrame, first: Column, last: Column, coverage: str = "coverage_pct", complete: str = "is_complete") -> DataFrame:
+def inference_date(days: DataFrame, first: Column, last: Column, coverage: str = "coverage_pct", complete: str = "is_complete", fallback: bool = True) -> DataFrame:
     """One row: date, is_broken.
 
     The newest complete date of the window; else the window's date of largest
     coverage (ties: the earliest), broken; else the newest complete date before it.
+    Without `fallback` the first alone: null if the window has no complete date.
     """
     inside = F.col("date").between(first, last)
     got = days.agg(
         F.max(F.when(inside & F.col(complete), F.col("date"))).alias("o1"),
         F.max_by(F.when(inside, F.col("date")), F.when(inside & (F.col(coverage) > 0), F.struct(F.col(coverage), -F.unix_date("date")))).alias("o2"),
         F.max(F.when((F.col("date") < first) & F.col(complete), F.col("date"))).alias("o3"))
+    if not fallback:
+        return got.select(F.col("o1").alias("date"), F.lit(False).alias("is_broken"))
     return got.select(F.coalesce("o1", "o2", "o3").alias("date"), (F.col("o1").isNull() & F.col("o2").isNotNull()).alias("is_broken"))
 
 
-def select_scenes(days: DataFrame, radar: DataFrame, first: Column, last: Column, previous: int = PREVIOUS, previews: DataFrame | None = None) -> DataFrame:
+def select_scenes(days: DataFrame, radar: DataFrame, first: Column, last: Column, previous: int = PREVIOUS, previews: DataFrame | None = None, fallback: bool = True) -> DataFrame:
     """role, slot, date, s1_date, s1_diff_days of the inference scene and the newest complete ones before it.
 
     previews: (date, is_complete) of coarse looks at the chosen dates; one that turns
     out incomplete goes, and the next older complete date takes its place.
+    Without `fallback` a window without a complete date has no scenes.
     """
-    chosen = inference_date(days, first, last)
+    chosen = inference_date(days, first, last, fallback=fallback)
     one = chosen.select(F.col("date").alias("__chosen"))
     older = days.join(F.broadcast(one), F.col("date") < F.col("__chosen")).where("is_complete").select("date").distinct()
     n = F.row_number().over(Window.orderBy(F.desc("date")))
